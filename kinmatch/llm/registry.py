@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import simhash
+from kinmatch.llm import quality, simhash
 from kinmatch.llm.base import table
 
 
@@ -14,9 +14,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {"op5_simhash": op5_simhash}
+    return {"op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_quality": quality.sql()}
