@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import quality, simhash
+from kinmatch.llm import pii, quality, simhash
 from kinmatch.llm.base import table
 
 
@@ -18,9 +18,14 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), found_col="found")
+    return out.select("doc_id", F.size(F.filter("found", lambda x: x["value"].isNotNull())).cast("long").alias("n_values"), "text")
+
+
 def queries() -> dict:
-    return {"op5_simhash": op5_simhash, "op7_quality": op7_quality}
+    return {"op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_quality": quality.sql()}
+    return {"op10_pii": pii.sql(), "op7_quality": quality.sql()}

@@ -1,0 +1,66 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from kinmatch.llm import pii, registry
+from tests.llm.helpers import same
+
+SF = "/root/testdata/sf0.01"
+
+
+def luhn(s):
+    d = [int(c) for c in reversed(re.sub(r"\D", "", s))]
+    return sum(x if i % 2 == 0 else x * 2 - 9 * (x > 4) for i, x in enumerate(d)) % 10 == 0
+
+
+def values(spark, *found, key=pii.KEY):
+    docs = spark.createDataFrame([(i, v) for i, v in enumerate(found)], "doc_id long, text string")
+    return [r["text"] for r in pii.pseudonymised(docs, key=key).orderBy("doc_id").collect()]
+
+
+def test_query_equals_sql(spark):
+    want = same(registry.op10_pii(spark, SF), registry.oracle_sql()["op10_pii"], SF, "documents")
+    assert sum(r[1] for r in want) > 40
+
+
+def test_formats_stay_and_values_change(spark):
+    found = ["a.B-9@mail7.example.com", "4111111111111111", "4111-1111-1111-1111", "3782 822463 10005", "2024-02-29", "1999/12/31", "31.12.1999", "12/31/1999", "235.58.234.215", "+1 (017) 555-7713", "123-45-6789", "04dbebab91ab85687d33eeaaf9ac699e1188f962", "9233A8ECF7C5B09FE5949719B6B82BC439E9329B"]
+    new = values(spark, *found)
+    shape = lambda s: re.sub("[a-z]", "a", re.sub("[A-Z]", "A", re.sub(r"\d", "9", s)))
+    for a, b in zip(found, new, strict=True):
+        assert a != b
+        if "." not in a and len(a) < 32:
+            assert shape(a) == shape(b)
+    assert luhn(new[1]) and re.sub(r"\D", "", new[1]) == re.sub(r"\D", "", new[2]) and luhn(new[3])
+    assert re.fullmatch("[0-9A-F]{40}", new[12]) and re.fullmatch("[0-9a-f]{40}", new[11])
+    assert new[6] == "{2}.{1}.{0}".format(*re.split("-", "-".join(re.split("/", new[5])))) and new[7].split("/")[2] == new[5].split("/")[0]
+    assert values(spark, *found, key="other") != new
+    assert values(spark, *found) == new
+
+
+@pytest.mark.parametrize("text", ["4111111111111112", "2023-02-29", "13/45/2020", "256.1.1.1", "01.2.3.4", "000-12-3456", "666-12-3456", "0" * 16, "1" * 40, "version 1.2", "room 12-34"])
+def test_invalid_values_stay(spark, text):
+    assert values(spark, f"see {text}, please") == [f"see {text}, please"]
+
+
+def test_is_a_permutation(spark):
+    """Every value of a small domain has its own pseudonym of the same domain."""
+    one = spark.range(17 * 4297).select(pii.permuted_number(F.col("id"), pii.DAYS, F.lit("date")).alias("y")).agg(F.countDistinct("y"), F.min("y"), F.max("y")).first()
+    assert tuple(one) == (73049, 0, 73048)
+    two = spark.range(10000).select(pii.permuted_text(F.lpad(F.col("id").cast("string"), 4, "0"), F.lit("phone")).alias("y")).agg(F.countDistinct("y"), F.min(F.length("y")), F.max(F.length("y"))).first()
+    assert tuple(two) == (10000, 4, 4)
+    areas = spark.range(0, 898 * 989901, 989901 * 7 + 13).select(F.format_string("%03d-%02d-%04d", (F.col("id") / 989901).cast("int") + F.when(F.col("id") / 989901 >= 665, 2).otherwise(1), ((F.col("id") % 989901) / 9999).cast("int") + 1, F.col("id") % 989901 % 9999 + 1).alias("text"))
+    out = pii.pseudonymised(areas, key="k", found_col="f")
+    assert out.where("f[0].value IS NULL OR text RLIKE '^(000|666|9)|-00-|-0000$'").count() == 0 and out.select("text").distinct().count() == areas.count()
+
+
+def test_odd_rows(spark):
+    long = "word " * 200000 + "4111111111111111"
+    rows = [(1, None), (None, ""), (2, "x@y.zz"), (2, "x@y.zz"), (3, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("found", F.lit("mine")).withColumn("__x", F.lit(1)).withColumn("value", F.lit(2))
+    out = pii.pseudonymised(docs)
+    assert out.columns == docs.columns
+    got = {str(r["doc_id"]): r["text"] for r in out.collect()}
+    assert got["1"] is None and got["None"] == "" and got["2"] != "x@y.zz" and got["3"][:-16] == long[:-16] and luhn(got["3"][-16:]) and got["3"] != long
+    assert pii.pseudonymised(docs.limit(0)).collect() == []
