@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import pii, quality, simhash
+from kinmatch.llm import decontaminate, pii, quality, simhash
 from kinmatch.llm.base import table
 
 
@@ -23,9 +23,13 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size(F.filter("found", lambda x: x["value"].isNotNull())).cast("long").alias("n_values"), "text")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
-    return {"op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
+    return {"op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_pii": pii.sql(), "op7_quality": quality.sql()}
+    return {"op2_decontaminate": decontaminate.sql(), "op10_pii": pii.sql(), "op7_quality": quality.sql()}
