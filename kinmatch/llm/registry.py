@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import decontaminate, pii, quality, simhash
+from kinmatch.llm import chat, decontaminate, pii, quality, simhash
 from kinmatch.llm.base import table
 
 
@@ -27,9 +27,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digests(chat.formatted(chat.with_probe(table(spark, sf_dir, "conversations"))))
+
+
 def queries() -> dict:
-    return {"op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
+    return {"op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": decontaminate.sql(), "op10_pii": pii.sql(), "op7_quality": quality.sql()}
+    return {"op1_chat": chat.sql(), "op2_decontaminate": decontaminate.sql(), "op10_pii": pii.sql(), "op7_quality": quality.sql()}
