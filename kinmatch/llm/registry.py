@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import chat, decontaminate, pii, quality, simhash
-from kinmatch.llm.base import table
+from kinmatch.llm import chat, decontaminate, pii, quality, shards, simhash
+from kinmatch.llm.base import new_path, table
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,9 +31,15 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(chat.with_probe(table(spark, sf_dir, "conversations"))))
 
 
+def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last version of a store that documents came to in arrivals."""
+    store = shards.in_arrivals(table(spark, sf_dir, "documents"), new_path(spark, "shards"))
+    return store.read().select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "n_chars")
+
+
 def queries() -> dict:
-    return {"op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
+    return {"op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_chat": chat.sql(), "op2_decontaminate": decontaminate.sql(), "op10_pii": pii.sql(), "op7_quality": quality.sql()}
+    return {"op3_shards": shards.SQL, "op1_chat": chat.sql(), "op2_decontaminate": decontaminate.sql(), "op10_pii": pii.sql(), "op7_quality": quality.sql()}
