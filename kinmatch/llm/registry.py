@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import chat, decontaminate, pii, quality, shards, simhash
+from kinmatch.llm import chat, decontaminate, pieces, pii, quality, shards, simhash
 from kinmatch.llm.base import new_path, table
 
 
@@ -37,8 +37,15 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read().select("doc_id", F.md5(F.col("text").cast("binary")).alias("text_md5"), "lang", "source", "n_chars")
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every text, and whether decoding them gives the text back."""
+    out = pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    same = F.coalesce(F.col("text"), F.lit("")) == F.coalesce(F.col("decoded"), F.lit(""))
+    return out.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), same.alias("round_trip"))
+
+
 def queries() -> dict:
-    return {"op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
+    return {"op6_pieces": op6_pieces, "op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:
