@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import chat, decontaminate, pieces, pii, quality, shards, simhash
+from kinmatch.llm import chat, decontaminate, pieces, pii, quality, shards, simhash, tokencount
 from kinmatch.llm.base import new_path, table
 
 
@@ -44,8 +44,16 @@ def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), same.alias("round_trip"))
 
 
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every text and of a revision of it, the second from the first's tree."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("edits", tokencount.revision(F.col("doc_id"), F.col("text")))
+    out = tokencount.edited(tokencount.trees(docs))
+    return out.select("doc_id", F.size("token_tree.lens").cast("long").alias("n_pretokens"), "edited.n_tokens", "edited.n_tokens_after", "edited.n_reencoded")
+
+
 def queries() -> dict:
-    return {"op6_pieces": op6_pieces, "op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
+    return {"op4_tokens": op4_tokens, "op6_pieces": op6_pieces, "op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:
