@@ -48,8 +48,7 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every text and of a revision of it, the second from the first's tree."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     docs = docs.withColumn("edits", tokencount.revision(F.col("doc_id"), F.col("text")))
-    out = tokencount.edited(tokencount.trees(docs))
-    return out.select("doc_id", F.size("token_tree.lens").cast("long").alias("n_pretokens"), "edited.n_tokens", "edited.n_tokens_after", "edited.n_reencoded")
+    return tokencount.recounted(docs).select("doc_id", "counted.*")
 
 
 def queries() -> dict:

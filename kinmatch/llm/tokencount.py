@@ -40,16 +40,17 @@ class Counter:
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
         self.encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=table, special_tokens={})
         self.pattern = regex.compile(pattern)
-        self.known: dict[str, int] = {}
+        self.known: dict[str, int] = {}  # the pre-tokens of late,
+        self.older: dict[str, int] = {}  # and those from before
 
     def count(self, pre_token: str) -> int:
-        n = self.known.get(pre_token)
+        n = self.known.get(pre_token) or self.older.get(pre_token)
         if n is None:
             n = len(self.encoding.encode_ordinary(pre_token))
-            if len(pre_token) <= 64:
-                if len(self.known) >= CACHE_WORDS:
-                    self.known.clear()
-                self.known[pre_token] = n
+        if len(pre_token) <= 64:
+            if len(self.known) >= CACHE_WORDS // 2:
+                self.known, self.older = {}, self.known
+            self.known[pre_token] = n
         return n
 
     def leaves(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
@@ -154,6 +155,12 @@ class TokenTree:
             nodes = {x // 2 for x in nodes if x > 1}
 
 
+    def edit_all(self, edits, counter: Counter) -> None:
+        for e in () if edits is None else edits:
+            if e is not None and e["start"] is not None and e["end"] is not None:
+                self.edit(int(e["start"]), int(e["end"]), e["new"] or "", counter)
+
+
 _loaded: dict[bytes, Counter] = {}
 
 
@@ -216,9 +223,7 @@ def edited(docs: DataFrame, edits_col: str = "edits", text_col: str = "text", tr
                     continue
                 tree = Tree(text, lens, counts)
                 before = tree.n_tokens
-                for e in () if todo is None else todo:
-                    if e is not None and e["start"] is not None and e["end"] is not None:
-                        tree.edit(int(e["start"]), int(e["end"]), e["new"] or "", counter)
+                tree.edit_all(todo, counter)
                 out.append((tree.text, *tree.leaves(), before, tree.n_tokens, tree.reencoded))
             yield pd.DataFrame(out, columns=["text", "lens", "counts", "n_tokens", "n_tokens_after", "n_reencoded"])
 
@@ -226,6 +231,33 @@ def edited(docs: DataFrame, edits_col: str = "edits", text_col: str = "text", tr
     return _with(docs, out_col, of(F.col(f"`{text_col}`"), tree, F.col(f"`{edits_col}`")))
 
 
+def recounted(docs: DataFrame, edits_col: str = "edits", text_col: str = "text", out_col: str = "counted", ranks: str | None = None) -> DataFrame:
+    """trees() and edited() in one pass, for trees that needn't be kept: docs with a further struct column of
+    ``n_pretokens``, ``n_tokens``, ``n_tokens_after`` and ``n_reencoded``. Cases as in edited()."""
+    ship(docs.sparkSession)
+    held = _ranks(docs.sparkSession, ranks)
+    names = ["n_pretokens", "n_tokens", "n_tokens_after", "n_reencoded"]
+
+    @F.pandas_udf(", ".join(f"{c} long" for c in names))
+    def of(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+        from kinmatch.llm.tokencount import TokenTree as Tree
+        from kinmatch.llm.tokencount import load as get
+
+        counter = get(held.value)
+        for texts, edits in parts:
+            out = []
+            for text, todo in zip(texts, edits, strict=True):
+                lens, counts = counter.leaves(text)
+                tree = Tree(text or "", lens, counts)
+                before = tree.n_tokens
+                if text is not None:
+                    tree.edit_all(todo, counter)
+                out.append((len(lens), before, tree.n_tokens, tree.reencoded))
+            yield pd.DataFrame(out, columns=names)
+
+    return _with(docs, out_col, of(F.col(f"`{text_col}`"), F.col(f"`{edits_col}`")))
+
+
 def _with(docs: DataFrame, name: str, value: Column) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != name], value.alias(name))
 
