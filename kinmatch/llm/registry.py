@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinmatch.llm import chat, decontaminate, pieces, pii, quality, shards, simhash, tokencount
+from kinmatch.llm import attention, chat, decontaminate, language, pieces, pii, quality, shards, simhash, tokencount
 from kinmatch.llm.base import new_path, table
 
 
@@ -51,8 +51,23 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.recounted(docs).select("doc_id", "counted.*")
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs.where(~language.held_out(F.col("doc_id"))))
+    out = language.labelled(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), F.col("language.lang").alias("lang_pred"), "language.score")
+
+
+def op9_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    learn = ~attention.held_out(F.col("doc_id"))
+    model = attention.train(docs.where(learn), table(spark, sf_dir, "labels").select("doc_id", "quality").where(learn))
+    out = attention.scored(docs, model)
+    return out.select("doc_id", attention.held_out(F.col("doc_id")).alias("held_out"), "quality.score", "quality.predicted")
+
+
 def queries() -> dict:
-    return {"op4_tokens": op4_tokens, "op6_pieces": op6_pieces, "op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
+    return {"op9_attention": op9_attention, "op8_language": op8_language, "op4_tokens": op4_tokens, "op6_pieces": op6_pieces, "op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:
