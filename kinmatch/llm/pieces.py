@@ -12,13 +12,15 @@ Two kinds of models fix what the best way is:
     two pieces are such a pair, exactly one way is open for each prefix, and it is the model's own segmentation.
 
 Where no piece has a space mark after another character, every path goes through the boundary before each mark that
-follows another character, and around each character that is in no longer piece: those segments (words) commit on their own, and are remembered in a bounded cache.
+follows another character, and around each character that is in no longer piece, and
+between two that are side by side in no piece: those segments (words) commit on their own, and are remembered in a bounded cache.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,7 @@ from kinmatch.llm.base import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_SETTING = "spark.kinmatch.pieces.model"
-CACHE_WORDS = 300_000
+CACHE_WORDS, CACHE_PAIRS, SHORT, ROWS, CUT = 400_000, 500_000, 64, 500, 1 << 20
 SPACE = "▁"
 
 
@@ -54,12 +56,37 @@ class Pieces:
         self.prefix = sp.encode("a", out_type=str)[0].startswith(SPACE)
         self.longest = max(map(len, self.id))
         self.by_word = all(SPACE not in p.lstrip(SPACE) for p in self.id)
-        in_pieces = {c for p in self.id if len(p) > 1 for c in p}
-        alone = re.escape("".join(c for c in map(chr, range(128)) if c not in in_pieces))  # never share a piece
-        self.word = re.compile(f"[{alone}]|{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" if alone else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
         self.worst = min(self.score[i] for i in self.id.values()) - 10
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.inside = {p[k : k + 2] for p in self.id for k in range(len(p) - 1)}
+        in_pieces = {c for p in self.id if len(p) > 1 for c in p}
+        alone = {c for c in map(chr, range(128)) if c not in in_pieces}  # never share a piece
+        latin, new = set(), {"e"}  # the characters that are linked to a letter by being side by side in pieces
+        beside: dict[str, set[str]] = {}
+        for x, y in self.inside:
+            beside.setdefault(x, set()).add(y)
+            beside.setdefault(y, set()).add(x)
+        while new:
+            latin |= new
+            new = {y for x in new for y in beside.get(x, ())} - latin - {SPACE}
+        a, s = re.escape("".join(sorted(alone - latin))), re.escape("".join(sorted(latin)))
+        self.word = re.compile(f"{SPACE}*[{s}]+|{SPACE}*[^{SPACE}{a}{s}]+|{SPACE}+" + f"|[{a}]" * bool(a))
+        #: pieces, and beginnings of pieces that are none (-1): a way stops where neither goes on
+        self.table = {p[:k]: -1 for p in self.id for k in range(1, len(p))} | self.id
+        self.trie: dict = {}  # by character; "" holds the id of the piece that ends there
+        for p, i in self.id.items():
+            node = self.trie
+            for c in p:
+                node = node.setdefault(c, {})
+            node[""] = i
+        self.begin = re.compile(f"[^{SPACE}]{SPACE}")
+        #: what each id stands for; None for a byte that is no character of its own
+        self.said = ["" if i in self.control else " \u2047 " if i == self.unk else (chr(b) if (b := self.byte_value[i]) < 128 else None) if i in self.byte_value else p.replace(SPACE, " ") for i, p in enumerate(self.piece)]
+        self.words: dict[str, tuple[int, ...]] = {}  # the words of late,
+        self.older: dict[str, tuple[int, ...]] = {}  # and those from before
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.parts_before: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, dict[int, bool]] = {}
+        self.n_pairs = 0
 
     def merged(self, s: str) -> list[str]:
         """Pieces of a short string by merging the best neighbours again and again, the first of equals."""
@@ -75,53 +102,85 @@ class Pieces:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def joins(self, a: str, b: str) -> bool:
-        """Whether merging a and b side by side leaves the two."""
-        got = self.pairs.get((a, b))
-        if got is None:
-            if len(self.pairs) >= 1 << 20:
-                self.pairs.clear()
-            got = self.pairs[a, b] = self.merged(a + b) == [a, b]
+    def joins(self, a: int, b: int) -> bool:
+        """Whether merging pieces a and b side by side leaves the two."""
+        if self.n_pairs >= CACHE_PAIRS:
+            self.pairs.clear()
+            self.n_pairs = 0
+        self.n_pairs += 1
+        x, y = self.piece[a], self.piece[b]
+        got = self.pairs.setdefault(a, {})[b] = self.merged(x + y) == [x, y]
         return got
 
     def stream(self, text: str) -> Iterator[list[str]]:
         """The text's pieces in committed groups; characters without a piece stand for themselves."""
-        ids, longest, joins, score, bpe, worst = self.id, self.longest, self.joins, self.score, self.bpe, self.worst
+        ids, table, joins, score, bpe, worst, pairs = self.id, self.table, self.joins, self.score, self.bpe, self.worst, self.pairs
         last, total, done, n = {0: ""}, {0: 0.0}, 0, len(text)  # for each position that can be reached: the best way's last piece, its score
-        for i in range(1, n + 1):
-            best, best_piece = 0.0, None
-            for j in range(max(done, i - longest), i):
-                before = last.get(j)
-                if before is None:
-                    continue
+        for j in range(n):
+            before = last.get(j)
+            if before is None:
+                continue
+            a = ids.get(before)  # none at the start and after a character without a piece: everything joins
+            for i in range(j + 1, n + 1):
                 p = text[j:i]
-                k = ids.get(p)
-                if k is None and i - j > 1:
-                    continue
-                if bpe:
-                    if not before or joins(before, p):
-                        best_piece = p
-                        break  # no other way is open
-                else:
-                    s = total[j] + (score[k] if k is not None else worst)
-                    if best_piece is None or s > best:
-                        best, best_piece = s, p
-            if best_piece is not None:
-                last[i], total[i] = best_piece, best
-            if i == n:
-                yield self._path(last, done, n)
-            elif i % longest == 0:
-                ends = {x for x in range(max(done, i - longest + 1), i + 1) if x in last}
-                while len(ends) > 1:  # back along the paths to the boundary that they share
+                at = table.get(p)
+                k = None if at == -1 else at
+                if k is not None or i == j + 1:
+                    if not bpe:
+                        s = total[j] + (score[k] if k is not None else worst)
+                        if i not in last or s > total[i]:
+                            last[i], total[i] = p, s
+                    elif i not in last:  # no second way is open
+                        ok = a is None or k is None or pairs.get(a, {}).get(k)
+                        if ok or ok is None and joins(a, k):
+                            last[i] = p
+                if at is None:
+                    break
+            if j + 1 < n and (j + 1) % self.longest == 0:
+                ends = {x for x in last if x > j}  # ways into these are all that go on
+                while len(ends) > 1:  # back along them to the boundary that they share
                     x = max(ends)
                     ends.remove(x)
-                    ends.add(x - len(last[x]))
+                    ends.add(x - len(last[x]) if x > done else done)
                 to = max(ends.pop(), done)
                 if to > done:
                     yield self._path(last, done, to)
                     for x in [x for x in last if x < to]:
-                        del last[x], total[x]
+                        del last[x]
+                        total.pop(x, None)
                     done = to
+        yield self._path(last, done, n)
+
+    def short(self, word: str) -> tuple[int, ...]:
+        """Ids of a short text, which is one window, by a BPE model."""
+        n, root, pairs, joins = len(word), self.trie, self.pairs, self.joins
+        start, piece = [-1] * (n + 1), [-1] * (n + 1)  # of the last piece into each position; -1: a character without one
+        start[0] = 0
+        for j in range(n):
+            if start[j] < 0:
+                continue
+            a, node, i = piece[j], root, j
+            row = pairs.get(a)
+            for c in word[j:]:
+                node = node.get(c)
+                if node is None:
+                    break
+                i += 1
+                if start[i] < 0 and (k := node.get("")) is not None:
+                    if a < 0:
+                        start[i], piece[i] = j, k
+                    else:
+                        ok = row.get(k) if row is not None else None
+                        if ok or ok is None and joins(a, k):
+                            start[i], piece[i] = j, k
+            if start[j + 1] < 0 and word[j] not in self.id:
+                start[j + 1] = j
+        out: list[int] = []
+        while n > 0:
+            j = start[n]
+            out += (piece[n],) if piece[n] >= 0 else self._ids(word[j:n])[::-1]
+            n = j
+        return tuple(out[::-1])
 
     def _path(self, last: dict[int, str], start: int, end: int) -> list[str]:
         out = []
@@ -137,8 +196,36 @@ class Pieces:
         return tuple(self.byte[b] for b in piece.encode("utf-8", "surrogatepass")) if self.byte else (self.unk,)
 
     def segment_ids(self, s: str) -> tuple[int, ...]:
+        if self.bpe and len(s) <= SHORT:
+            return self.short(s)
         return tuple(i for group in self.stream(s) for p in group for i in self._ids(p))
 
+    def _word(self, w: str) -> tuple[int, ...]:
+        """Ids of a word that isn't among those of late. It is cut wherever no piece has the two characters side by side."""
+        ids = self.older.get(w)
+        if ids is None:
+            inside, at, ids = self.inside, 0, ()
+            for k in range(1, len(w)):
+                if w[k - 1 : k + 1] not in inside:
+                    ids += self._part(w[at:k])
+                    at = k
+            ids += self._part(w[at:])
+        if len(w) <= SHORT:
+            if len(self.words) >= CACHE_WORDS // 2:
+                self.words, self.older = {}, self.words
+            self.words[w] = ids
+        return ids
+
+    def _part(self, s: str) -> tuple[int, ...]:
+        ids = self.parts.get(s)
+        if ids is None:
+            ids = self.parts_before.get(s) or self.segment_ids(s)
+            if len(s) <= SHORT:
+                if len(self.parts) >= CACHE_WORDS // 2:
+                    self.parts, self.parts_before = {}, self.parts
+                self.parts[s] = ids
+        return ids
+
     def encode(self, text: str | None) -> list[int]:
         """Ids of a whole text; none for null and empty."""
         if not text:
@@ -146,35 +233,38 @@ class Pieces:
         marked = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
         if not self.by_word:
             return list(self.segment_ids(marked))
-        out, words = [], self.words
-        for m in self.word.finditer(marked):
-            w = m.group()
-            ids = words.get(w)
-            if ids is None:
-                ids = self.segment_ids(w)
-                if len(w) <= 64:
-                    if len(words) >= CACHE_WORDS:
-                        words.clear()
-                    words[w] = ids
-            out += ids
+        out: list[int] = []
+        end = 0
+        while end < len(marked):  # about CUT characters at a time, up to where a word begins
+            start, end = end, self._boundary(marked, end + CUT)
+            found = self.word.findall(marked, start, end)
+            got = list(map(self.words.get, found))
+            if None in got:
+                got = [self._word(w) if x is None else x for w, x in zip(found, got, strict=True)]
+            out += chain.from_iterable(got)
         return out
 
+    def _boundary(self, marked: str, at: int) -> int:
+        """The first place from ``at`` on where a word begins with a mark, or the end."""
+        m = self.begin.search(marked, at)
+        return m.start() + 1 if m else len(marked)
+
     def decode(self, ids) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD each."""
-        out, raw, piece, byte = [], bytearray(), self.piece, self.byte_value
-        for i in ids:
-            b = byte.get(i)
-            if b is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode("utf-8", "replace"))
-                raw = bytearray()
-            if i not in self.control:
-                out.append(piece[i] if i != self.unk else " ⁇ ")
-        if raw:
-            out.append(raw.decode("utf-8", "replace"))
-        text = "".join(out).replace(SPACE, " ")
+        found = list(map(self.said.__getitem__, ids))
+        if None in found:  # parts of characters
+            out, raw = [], bytearray()
+            for i, x in zip(ids, found, strict=True):
+                b = self.byte_value.get(i)
+                if b is not None:
+                    raw.append(b)
+                    continue
+                if raw:
+                    out.append(raw.decode("utf-8", "replace"))
+                    raw = bytearray()
+                out.append(x)
+            found = [*out, raw.decode("utf-8", "replace")]
+        text = "".join(found)
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -195,8 +285,9 @@ def _model(spark, path: str | None):
         return spark.sparkContext.broadcast(f.read())
 
 
-def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", model: str | None = None) -> DataFrame:
-    """docs with a further column of the texts' piece ids (array of int), in place of one of that name.
+def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", model: str | None = None, check_col: str | None = None) -> DataFrame:
+    """docs with a further column of the texts' piece ids (array of int), in place of one of that name, and with
+    ``check_col`` one that tells whether decoding them gives the text back.
 
     Null and empty texts have no ids. Repeated rows are encoded alike; an empty table stays empty. ``model``: path of a
     SentencePiece model whose normaliser changes nothing but spaces; the session's spark.kinmatch.pieces.model if not given.
@@ -204,15 +295,21 @@ def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids",
     ship(docs.sparkSession)
     held = _model(docs.sparkSession, model)
 
-    @F.pandas_udf("array<int>")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("ids array<int>, same boolean")
+    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         from kinmatch.llm.pieces import load as get
 
-        encode = get(held.value).encode
+        own = get(held.value)
         for s in parts:
-            yield pd.Series([np.array(encode(t), dtype=np.int32) for t in s])
-
-    return _with(docs, ids_col, of(F.col(f"`{text_col}`")))
+            for k in range(0, len(s), ROWS):  # a few rows' ids at a time
+                texts = s.iloc[k : k + ROWS]
+                ids = [own.encode(t) for t in texts]
+                same = [own.decode(x) == (t or "") for x, t in zip(ids, texts, strict=True)] if check_col else None
+                yield pd.DataFrame({"ids": [np.array(x, dtype=np.int32) for x in ids], "same": same})
+
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), of(F.col(f"`{text_col}`")).alias("__p"))
+    new = [F.col("__p.ids").alias(ids_col)] + ([F.col("__p.same").alias(check_col)] if check_col else [])
+    return out.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns if c not in (ids_col, check_col)], *new)
 
 
 def decoded(docs: DataFrame, ids_col: str = "piece_ids", text_col: str = "decoded", model: str | None = None) -> DataFrame:

@@ -39,9 +39,8 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every text, and whether decoding them gives the text back."""
-    out = pieces.decoded(pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text")))
-    same = F.coalesce(F.col("text"), F.lit("")) == F.coalesce(F.col("decoded"), F.lit(""))
-    return out.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), same.alias("round_trip"))
+    out = pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), check_col="round_trip")
+    return out.select("doc_id", "piece_ids", F.size("piece_ids").cast("long").alias("n_pieces"), "round_trip")
 
 
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
