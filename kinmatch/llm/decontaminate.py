@@ -79,8 +79,9 @@ def verified(pairs: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all columns, that hold no benchmark item."""
-    bad = written(overlaps(docs, benchmark).select(F.col("doc_id").alias("__bad")).distinct(), "contaminated")
-    return docs.join(small(bad, 32), F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    bad = written(overlaps(docs, benchmark).select(F.col("doc_id").alias("bad")).distinct(), "contaminated")
+    return docs.select(row).join(small(bad, 32), F.col("row.doc_id").eqNullSafe(F.col("bad")), "left_anti").select("row.*")
 
 
 def sql() -> str:

@@ -66,7 +66,9 @@ def op9_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {"op9_attention": op9_attention, "op8_language": op8_language, "op4_tokens": op4_tokens, "op6_pieces": op6_pieces, "op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
+    import corpus_pipeline
+
+    return {"pipeline": corpus_pipeline.run, "op9_attention": op9_attention, "op8_language": op8_language, "op4_tokens": op4_tokens, "op6_pieces": op6_pieces, "op3_shards": op3_shards, "op1_chat": op1_chat, "op2_decontaminate": op2_decontaminate, "op10_pii": op10_pii, "op5_simhash": op5_simhash, "op7_quality": op7_quality}
 
 
 def oracle_sql() -> dict[str, str]:

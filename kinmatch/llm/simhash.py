@@ -207,19 +207,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     linked = written(nodes.join(roots, F.col("fp") == F.col("node")).select("fp", "root", "least"), "linked")
     lowest = linked.groupBy("root").agg(F.min("least").alias("lowest"))
     of = nodes.join(linked.join(lowest, "root").select("fp", "lowest"), "fp", "left").select("fp", F.coalesce("lowest", "least").alias("component_id"))
-    return base.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    of = written(of, "components")
+    return base.join(small(of, 32), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def first_of_groups(docs: DataFrame, **settings) -> DataFrame:
     """docs with one document of each group of near duplicates: the one with the smallest id.
 
     All columns stay as they are. Rows that repeat an id are one document: one of them stays. Rows with a null id stay."""
-    cols = docs.columns
-    ids = near_duplicates(docs, **settings).groupBy(F.col("doc_id").alias("__id"))
-    marks = ids.agg(F.max(F.col("doc_id") == F.col("component_id")).alias("__first"), F.count(F.lit(1)).alias("__n"))
-    marks = written(marks.where("__id IS NOT NULL AND (NOT __first OR __n > 1)"), "marks")
-    out = docs.join(small(marks, 32), F.col("doc_id") == F.col("__id"), "left").where("__first IS NULL OR __first")
-    if marks.where("__first").isEmpty():
-        return out.select(*cols)
-    again = F.col("__n").isNotNull()
-    return out.where(~again).unionByName(out.where(again).dropDuplicates(["doc_id"])).select(*cols)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    ids = near_duplicates(docs, **settings).groupBy(F.col("doc_id").alias("id"))
+    marks = ids.agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count(F.lit(1)).alias("n"))
+    marks = written(marks.where("id IS NOT NULL AND (NOT first OR n > 1)"), "marks")
+    out = docs.select(row).join(small(marks, 32), F.col("row.doc_id") == F.col("id"), "left").where("first IS NULL OR first")
+    if not marks.where("first").isEmpty():
+        out = out.where("n IS NULL").unionByName(out.where("n IS NOT NULL").dropDuplicates(["id"]))
+    return out.select("row.*")

@@ -8,7 +8,7 @@ def tables(con, sf_dir, *names):
 
 def rows_of(df):
     cols = sorted(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.select(*cols).collect()), key=repr)
+    return sorted((tuple(r[c] for c in cols) for r in df.select(*[f"`{c}`" for c in cols]).collect()), key=repr)
 
 
 def sql_rows(sql, sf_dir, *names):
