@@ -1,11 +1,537 @@
-"""Registered queries and their SQL."""
+"""The registered queries and their DuckDB SQL. Every query takes (spark, sf_dir) and runs over the whole table."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from kinmatch.functions import similarity as sim
+from kinmatch.functions import text as t
+from kinmatch.operators import blockers as bl
+from kinmatch.operators import blocking, ensemble, evaluate, rules, tfidf
+from kinmatch.operators import features as ft
+from kinmatch.operators import records as r
+from kinmatch.plans import fixture as fx
+from kinmatch.plans import oracles as o
+from kinmatch.sources import files
 
-def oracle_sql() -> dict:
-    return {}
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def _add(name: str, sql: str | None = None):
+    def keep(f: Callable[[SparkSession, str], DataFrame]):
+        _QUERIES[name] = f
+        if sql is not None:
+            _SQL[name] = sql
+        return f
+
+    return keep
+
+
+def _joined(x, as_set: bool = False):
+    """Arrays as text: engines print lists differently."""
+    return F.array_join(F.array_sort(x) if as_set else x, ",")
+
+
+# ---- normalisation and tokens
+
+
+@_add("norm_name", o.query(select="SELECT entity_id, norm_name, light_name FROM rec"))
+def _norm_name(spark, sf_dir):
+    return fx.records(spark, sf_dir).select("entity_id", "norm_name", "light_name")
+
+
+@_add("norm_addr", o.query(select="SELECT entity_id, norm_addr, light_addr FROM rec"))
+def _norm_addr(spark, sf_dir):
+    return fx.records(spark, sf_dir).select("entity_id", "norm_addr", "light_addr")
+
+
+@_add("name_tokens", o.query(select="SELECT entity_id, array_to_string(list_sort(name_tokens), ',') AS tokens, CAST(len(name_tokens) AS INT) AS n FROM rec"))
+def _name_tokens(spark, sf_dir):
+    return fx.records(spark, sf_dir).select("entity_id", _joined(F.col("name_tokens"), True).alias("tokens"), F.size("name_tokens").alias("n"))
+
+
+@_add(
+    "number_tokens",
+    o.query(
+        select=f"SELECT entity_id, array_to_string(addr_numbers, ',') AS numbers, array_to_string(list_sort({o.HOUSE}), ',') AS house, array_to_string(list_sort({o.ANY_NUMBER}), ',') AS stripped, array_to_string(list_sort({o.LONG_NUMBERS}), ',') AS long, coalesce({o.pin('addr_numbers')}, '') AS pin FROM rec"
+    ),
+)
+def _number_tokens(spark, sf_dir):
+    a = F.col("business_address")
+    return fx.records(spark, sf_dir).select(
+        "entity_id", _joined(F.col("addr_numbers")).alias("numbers"), _joined(t.house_numbers(a), True).alias("house"), _joined(t.any_numbers(a), True).alias("stripped"),
+        _joined(t.long_numbers(F.col("light_addr")), True).alias("long"), F.coalesce(t.pin_code(F.col("addr_numbers")), F.lit("")).alias("pin"),
+    )
+
+
+@_add("clean_words", o.query(select=f"SELECT entity_id, array_to_string(list_sort({o.CLEAN}), ',') AS words FROM rec"))
+def _clean_words(spark, sf_dir):
+    return fx.records(spark, sf_dir).select("entity_id", _joined(t.clean_words(F.col("business_name")), True).alias("words"))
+
+
+@_add("soundex_tokens", o.query(select=f"SELECT entity_id, array_to_string(list_sort(list_transform(name_tokens, lambda q: {o.soundex('q')})), ',') AS sounds FROM rec"))
+def _soundex_tokens(spark, sf_dir):
+    return fx.records(spark, sf_dir).select("entity_id", _joined(F.transform("name_tokens", t.soundex), True).alias("sounds"))
+
+
+@_add("initials", o.query(select=f"SELECT entity_id, {o.initials('norm_name')} AS initials, coalesce({o.prefix('norm_name', 4)}, '') AS prefix4, array_to_string(list_sort({o.grams('norm_name')}), ',') AS grams FROM rec"))
+def _initials(spark, sf_dir):
+    return fx.records(spark, sf_dir).select("entity_id", t.initials(F.col("norm_name")).alias("initials"), F.coalesce(t.prefix(F.col("norm_name"), 4), F.lit("")).alias("prefix4"), _joined(t.char_grams(F.col("norm_name")), True).alias("grams"))
+
+
+# ---- blocking
+
+_CAND = "SELECT * FROM cand"
+
+
+def _block(spec):
+    def run(spark, sf_dir):
+        rec = fx.records(spark, sf_dir)
+        return blocking.candidates(r.anchors(rec), r.pool(rec), spec)
+
+    return run
+
+
+for _name, _spec in {
+    "block_token_overlap": bl.TOKEN_OVERLAP, "block_numeric": bl.NUMERIC, "block_prefix5": bl.PREFIX5, "block_int_top15": bl.INTEGER_TOP15, "block_int_top50": bl.INTEGER_TOP50,
+    "block_idf_top15": bl.IDF_TOP15, "block_rule_v2": bl.RULE_V2, "block_rule_v3": bl.RULE_V3, "block_rescue_a": bl.RESCUE_A, "block_rescue_b": bl.RESCUE_B,
+    **{f"block_{k}": v for k, v in bl.VARIANTS.items()},
+}.items():
+    _add(_name, o.query(o.candidates(_spec), select=_CAND))(_block(_spec))
+
+
+@_add("doc_frequency", o.query(o.frequencies(bl.IDF_TOP15), select="SELECT country, source, name, key, df, n FROM dfs JOIN sz USING (country, source)"))
+def _doc_frequency(spark, sf_dir):
+    return blocking.document_frequencies(r.pool(fx.records(spark, sf_dir)), bl.IDF_TOP15).select("country", "source", "name", "key", "df", "n")
+
+
+@_add("idf_weights", o.query(o.frequencies(bl.IDF_TOP15), select=f"SELECT country, source, name, key, round({o.IDF['smooth']}, 6) AS smooth, round({o.IDF['plain']}, 6) AS plain FROM dfs JOIN sz USING (country, source)"))
+def _idf_weights(spark, sf_dir):
+    d = blocking.document_frequencies(r.pool(fx.records(spark, sf_dir)), bl.IDF_TOP15)
+    return d.select("country", "source", "name", "key", *[F.round(blocking.idf(k, F.col("df"), F.col("n")), 6).alias(k) for k in ("smooth", "plain")])
+
+
+def _cosine(column, grams):
+    def run(spark, sf_dir):
+        rec = fx.records(spark, sf_dir)
+        return tfidf.cosine_top_k(r.anchors(rec), r.pool(rec), column, grams, 20)
+
+    return run
+
+
+_add("tfidf_name_top20", o.query(o.tfidf("norm_name", 2, 4, 20), select=_CAND))(_cosine("norm_name", (2, 4)))
+_add("tfidf_addr_top20", o.query(o.tfidf("norm_addr", 3, 5, 20), select=_CAND))(_cosine("norm_addr", (3, 5)))
+
+
+def _several(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return [blocking.candidates(r.anchors(rec), r.pool(rec), s) for s in (bl.TOKEN_OVERLAP, bl.PREFIX5, bl.NUMERIC)]
+
+
+def _renamed(spec, tag: str) -> str:
+    """The CTEs of a blocker under names of their own."""
+    import re
+
+    return re.sub(r"\b(dk|sz|dfs|po|ix|ik|pr|pa|sc)\b", rf"\1_{tag}", o.candidates(spec, tag=f"cand_{tag}"))
+
+
+_THREE = [_renamed(s, k) for s, k in ((bl.TOKEN_OVERLAP, "t"), (bl.PREFIX5, "p"), (bl.NUMERIC, "n"))]
+
+
+@_add("block_union", o.query(*_THREE, select="SELECT s1_id, cand_id FROM cand_t UNION SELECT s1_id, cand_id FROM cand_p UNION SELECT s1_id, cand_id FROM cand_n"))
+def _block_union(spark, sf_dir):
+    return blocking.union(*_several(spark, sf_dir))
+
+
+@_add(
+    "block_priority_union",
+    o.query(
+        *_THREE,
+        "al AS (SELECT s1_id, cand_id, cand_ord, 0 AS priority, rank AS place FROM cand_t UNION ALL SELECT s1_id, cand_id, cand_ord, 1, rank FROM cand_p UNION ALL SELECT s1_id, cand_id, cand_ord, 2, rank FROM cand_n)",
+        "fi AS (SELECT * FROM al QUALIFY row_number() OVER (PARTITION BY s1_id, cand_id ORDER BY priority, place) = 1)",
+        select="SELECT s1_id, cand_id, priority, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY priority, place, cand_ord, cand_id) AS INT) AS rank FROM fi QUALIFY rank <= 50",
+    ),
+)
+def _block_priority_union(spark, sf_dir):
+    return blocking.priority_union(_several(spark, sf_dir), 50)
+
+
+@_add("block_all_anchors", o.query(o.candidates(bl.INTEGER_TOP15), o.lists("cand", "li"), select="SELECT s1_id, array_to_string(ids, ',') AS candidates FROM li"))
+def _block_all_anchors(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    out = blocking.with_all_anchors(r.anchors(rec), _found(rec))
+    return out.select("s1_id", _joined(F.col("candidates")).alias("candidates"))
+
+
+# ---- features and rules
+
+
+def _found(rec, spec=bl.INTEGER_TOP15):
+    return blocking.candidates(r.anchors(rec), r.pool(rec), spec)
+
+
+_FOUND = o.candidates(bl.INTEGER_TOP15)
+
+
+@_add("features_array", o.query(_FOUND, o.paired(), select="SELECT s1_id, cand_id, " + ", ".join(f"round({v}, 6) AS {k}" for k, v in o.FEATURES.items()) + " FROM pairs"))
+def _features_array(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return ft.pairs(_found(rec), rec).select("s1_id", "cand_id", *[F.round(v, 6).alias(k) for k, v in ft.native().items()])
+
+
+@_add("features_jw", o.query(_FOUND, o.paired(), select=f"SELECT s1_id, cand_id, {o.jw('a_norm_name', 'b_norm_name')} AS jw_name, {o.jw('a_norm_addr', 'b_norm_addr')} AS jw_addr, CAST(levenshtein(a_norm_name, b_norm_name) AS INT) AS edits FROM pairs"))
+def _features_jw(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    jw = lambda c: F.round(sim.jaro_winkler_column(F.col(f"a_{c}"), F.col(f"b_{c}")), 6)
+    return ft.pairs(_found(rec), rec).select("s1_id", "cand_id", jw("norm_name").alias("jw_name"), jw("norm_addr").alias("jw_addr"), F.levenshtein("a_norm_name", "b_norm_name").alias("edits"))
+
+
+@_add("features_all")
+def _features_all(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return ft.featurized(ft.pairs(_found(rec), rec)).select("s1_id", "cand_id", *[F.round(c, 6).alias(c) for c in (*ft.FEATURE_NAMES, *ft.EXTRA_NAMES)])
+
+
+def _rule_sql(version: int) -> str:
+    nums = {s: f"list_distinct(regexp_extract_all({s}_light_addr, '\\b\\d{{2,}}\\b'))" for s in "ab"}
+    inner = f"SELECT s1_id, cand_id, 100 * {o.jw('a_light_name', 'b_light_name')} AS n, 100 * {o.jw('a_light_addr', 'b_light_addr')} AS a, len(list_intersect({nums['a']}, {nums['b']})) > 0 AS m, {o.conflict(nums['a'], nums['b'])} AS x FROM pairs"
+    return o.query(_FOUND, o.paired(), select=f"SELECT s1_id, cand_id, CAST({o.RULES[version]} AS INT) AS rule_score FROM ({inner})")
+
+
+def _rule(version: int):
+    def run(spark, sf_dir):
+        rec = fx.records(spark, sf_dir)
+        jw = lambda c: 100 * F.round(sim.jaro_winkler_column(F.col(f"a_light_{c}"), F.col(f"b_light_{c}")), 6)
+        return rules.scored(ft.pairs(_found(rec), rec), version, F.struct(jw("name").alias("n"), jw("addr").alias("a"))).select("s1_id", "cand_id", "rule_score")
+
+    return run
+
+
+def _rule_matches(version: int):
+    def run(spark, sf_dir):
+        rec = fx.records(spark, sf_dir)
+        return rules.matches(r.anchors(rec), r.pool(rec), rec, version)
+
+    return run
+
+
+for _v in (2, 3):
+    _add(f"rule_v{_v}", _rule_sql(_v))(_rule(_v))
+    _add(f"rule_v{_v}_matches")(_rule_matches(_v))
+
+
+# ---- decisions; p stands for a model's score and is the blocker's, scaled
+
+
+def _scored(rec):
+    out = _found(rec).withColumn("p", F.round(F.least(F.lit(1.0), F.col("score") / 40), 6))
+    return out.join(rec.select(F.col("entity_id").alias("cand_id"), F.col("norm_name").alias("b_norm_name"), F.col("norm_addr").alias("b_norm_addr")), "cand_id")
+
+
+_TAU = {"France": 0.4, "US": 0.45, "India": 0.4}
+_SCORED = "sp AS (SELECT k.*, round(least(1.0, score / 40), 6) AS p, b.norm_name AS bn, b.norm_addr AS ba FROM cand k JOIN rec b ON b.entity_id = k.cand_id)"
+_OK = "ok AS (SELECT * FROM sp WHERE p >= CASE country WHEN 'US' THEN 0.45 ELSE 0.4 END)"
+_BEST = "best AS (SELECT * FROM sp WHERE s1_id NOT IN (SELECT s1_id FROM ok) QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY round(p, 9) DESC, cand_ord, cand_id) = 1)"
+_RESCUED = "re AS (SELECT s1_id, cand_id, source, p FROM ok UNION ALL SELECT s1_id, cand_id, source, p FROM best WHERE p >= 0.2)"
+
+
+@_add("threshold_accept", o.query(_FOUND, _SCORED, _OK, select="SELECT s1_id, cand_id, source, p FROM ok"))
+def _threshold_accept(spark, sf_dir):
+    return ensemble.accepted(_scored(fx.records(spark, sf_dir)), _TAU).select("s1_id", "cand_id", "source", "p")
+
+
+@_add("singleton_rescue", o.query(_FOUND, _SCORED, _OK, _BEST, _RESCUED, select="SELECT * FROM re"))
+def _singleton_rescue(spark, sf_dir):
+    return ensemble.accepted(_scored(fx.records(spark, sf_dir)), _TAU, 0.2).select("s1_id", "cand_id", "source", "p")
+
+
+def _closure_sql(floor: str, same: str) -> str:
+    return f"SELECT DISTINCT x.s1_id, x.cand_id FROM sp x JOIN sp y ON x.s1_id = y.s1_id AND x.bn = y.bn JOIN {{m}} z ON z.s1_id = y.s1_id AND z.cand_id = y.cand_id WHERE x.source = 'S3' AND y.source = 'S2'{floor} AND {same} AND (x.s1_id, x.cand_id) NOT IN (SELECT s1_id, cand_id FROM {{m}})"
+
+
+@_add("triangle_closure", o.query(_FOUND, _SCORED, _OK, _BEST, _RESCUED, select=_closure_sql(" AND y.p >= 0.3", "(x.ba = y.ba OR x.ba = '' OR y.ba = '')").format(m="re")))
+def _triangle_closure(spark, sf_dir):
+    s = _scored(fx.records(spark, sf_dir))
+    return rules.closure(s, ensemble.accepted(s, _TAU, 0.2), 0.3)
+
+
+@_add("triangle_closure_strict", o.query(_FOUND, _SCORED, _OK, _BEST, _RESCUED, select=_closure_sql("", "x.ba = y.ba").format(m="re")))
+def _triangle_closure_strict(spark, sf_dir):
+    s = _scored(fx.records(spark, sf_dir))
+    return rules.closure(s, ensemble.accepted(s, _TAU, 0.2), None, True)
+
+
+def _matched(rec, least: float = 20.0):
+    return _found(rec).where(F.col("score") >= least)
+
+
+_MATCHED = "mt AS (SELECT * FROM cand WHERE score >= 20)"
+
+
+def _raw_jw():
+    return F.round(100 * sim.jaro_winkler_column(F.lower("a_business_name"), F.lower("b_business_name")), 6)
+
+
+def _raw_sql(cand: str, tag: str, extra: str = "") -> str:
+    ratio = "round(100 * CASE WHEN a.business_name = '' OR b.business_name = '' THEN 0.0 ELSE jaro_winkler_similarity(lower(a.business_name), lower(b.business_name)) END, 6)"
+    side = lambda x, s: x.replace("business_address", f"{s}.business_address").replace("business_name", f"{s}.business_name")
+    x, y = side(o.HOUSE, "a"), side(o.HOUSE, "b")
+    return f"{tag} AS (SELECT k.*, {ratio} AS ratio, len(list_intersect({x}, {y})) > 0 AS shared, {o.conflict(x, y)} AS conflict, len(list_intersect({side(o.CLEAN, 'a')}, {side(o.CLEAN, 'b')})) > 0 AS common{extra} FROM {cand} k JOIN rec a ON a.entity_id = k.s1_id JOIN rec b ON b.entity_id = k.cand_id)"
+
+
+_RESCUE_OK = "NOT conflict AND CASE WHEN shared THEN ratio >= 72 ELSE ratio >= 85 AND common END"
+
+
+@_add(
+    "rescue_empty",
+    o.query(_renamed(bl.INTEGER_TOP15, "m"), "mt AS (SELECT * FROM cand_m WHERE score >= 20)", o.candidates(bl.RESCUE_A, "source = 'S1' AND entity_id NOT IN (SELECT s1_id FROM mt)"), _raw_sql("cand", "rw"), select=f"SELECT s1_id, cand_id, source, ratio FROM rw WHERE {_RESCUE_OK} QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY ratio DESC, cand_ord, cand_id) <= 4"),
+)
+def _rescue_empty(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return rules.rescue_empty(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
+
+
+@_add(
+    "rescue_few",
+    o.query(
+        _renamed(bl.INTEGER_TOP15, "m"), "mt AS (SELECT * FROM cand_m WHERE score >= 20)", "hv AS (SELECT s1_id, count(*) AS have FROM mt GROUP BY s1_id)",
+        o.candidates(bl.RESCUE_B, "source = 'S1' AND entity_id NOT IN (SELECT s1_id FROM hv WHERE have >= 2)"), "fr AS (SELECT * FROM cand WHERE (s1_id, cand_id) NOT IN (SELECT s1_id, cand_id FROM mt))", _raw_sql("fr", "rw"),
+        select=f"SELECT s1_id, cand_id, source, ratio FROM rw LEFT JOIN hv USING (s1_id) WHERE {_RESCUE_OK} QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY ratio DESC, cand_ord, cand_id) <= 4 - coalesce(have, 0)",
+    ),
+)
+def _rescue_few(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return rules.rescue_few(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
+
+
+_DEEP = bl.Spec(bl.COMPLETION.postings, bl.COMPLETION.probes, None, None, False)
+
+
+@_add(
+    "dual_source_completion",
+    o.query(
+        _renamed(bl.INTEGER_TOP15, "m"), "mt AS (SELECT * FROM cand_m WHERE score >= 20)",
+        "on1 AS (SELECT s1_id, count(*) AS have, CASE WHEN min(source) = 'S2' THEN 'S3' ELSE 'S2' END AS other FROM mt GROUP BY s1_id HAVING count(*) < 4 AND min(source) = max(source))",
+        o.candidates(_DEEP, "source = 'S1' AND entity_id IN (SELECT s1_id FROM on1)"),
+        "fr AS (SELECT cand.* EXCLUDE (rank), have, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_ord, cand_id) AS rk FROM cand JOIN on1 USING (s1_id) WHERE source = other QUALIFY rk <= 5)", _raw_sql("fr", "rw"),
+        select="SELECT s1_id, cand_id, source, ratio FROM rw WHERE score >= 15 AND NOT conflict AND ((shared AND ratio >= 75) OR ratio >= 88) QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY rk) <= 4 - have",
+    ),
+)
+def _dual_source_completion(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return rules.complete_sources(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
+
+
+def _scrub_sql() -> str:
+    toks = {s: f"list_filter(string_split_regex(regexp_replace(lower({s}.business_name), '[^a-z0-9\\s]', ' ', 'g'), '\\s+'), lambda w: length(w) >= 2 AND w NOT IN ('the', 'and', 'inc', 'llc', 'ltd', 'corp', 'pvt'))" for s in "ab"}
+    nums = {s: o.ANY_NUMBER.replace("business_address", f"{s}.business_address") for s in "ab"}
+    f1, f2 = f"coalesce({toks['a']}[1], '')", f"coalesce({toks['b']}[1], '')"
+    apart = f"({f1} <> '' AND {f2} <> '' AND {f1} <> {f2} AND NOT starts_with({f1}, {f2}) AND NOT starts_with({f2}, {f1}) AND len(list_intersect({toks['a']}, {toks['b']})) = 0)"
+    return f"SELECT s1_id, cand_id FROM mt JOIN rec a ON a.entity_id = s1_id JOIN rec b ON b.entity_id = cand_id WHERE NOT ({o.conflict(nums['a'], nums['b'])} OR {apart})"
+
+
+@_add("precision_scrub", o.query(_FOUND, _MATCHED.replace("20", "5"), select=_scrub_sql()))
+def _precision_scrub(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return rules.scrub(_matched(rec, 5.0), rec)
+
+
+# ---- evaluation
+
+
+def _lists(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    own = r.anchors(rec)
+    return rec, evaluate.listed(own, fx.true_pairs(spark, sf_dir)), evaluate.listed(own, _matched(rec))
+
+
+_EVAL = (_FOUND, _MATCHED, o.TRUTH, o.lists("truth", "tl"), o.lists("mt", "pl"))
+
+
+@_add("per_entity_f05", o.query(*_EVAL, o.SCORES, select="SELECT s1_id, CAST(n_true AS INT) AS n_true, CAST(n_pred AS INT) AS n_pred, CAST(n_hit AS INT) AS n_hit, f05 FROM scores"))
+def _per_entity_f05(spark, sf_dir):
+    _, true, pred = _lists(spark, sf_dir)
+    return evaluate.per_entity(true, pred)
+
+
+@_add("macro_f05", o.query(*_EVAL, o.SCORES, select="SELECT round(avg(f05), 6) AS macro_f05, count(*) AS n FROM scores"))
+def _macro_f05(spark, sf_dir):
+    _, true, pred = _lists(spark, sf_dir)
+    return evaluate.macro(evaluate.per_entity(true, pred))
+
+
+@_add(
+    "f05_breakdown",
+    o.query(
+        *_EVAL, o.SCORES,
+        select="SELECT count(*) AS n, count_if(n_true = 0)::BIGINT AS true_singletons, count_if(n_true > 0)::BIGINT AS true_matched, count_if(n_pred = 0)::BIGINT AS pred_singletons, round(coalesce(avg(f05) FILTER (n_true = 0), 0), 6) AS f05_singletons, round(coalesce(avg(f05) FILTER (n_true > 0), 0), 6) AS f05_matched, round(avg(f05), 6) AS macro_f05, count_if(f05 >= 0.99)::BIGINT AS n_perfect, count_if(f05 = 0)::BIGINT AS n_zero, round(CASE WHEN sum(n_pred) > 0 THEN sum(n_hit) / sum(n_pred) ELSE 0 END, 6) AS micro_precision, round(CASE WHEN sum(n_true) > 0 THEN sum(n_hit) / sum(n_true) ELSE 0 END, 6) AS micro_recall FROM scores",
+    ),
+)
+def _f05_breakdown(spark, sf_dir):
+    _, true, pred = _lists(spark, sf_dir)
+    return evaluate.breakdown(evaluate.per_entity(true, pred))
+
+
+_GRID = "gr AS (SELECT i / 100 AS tau FROM range(10, 96, 2) AS g(i))"
+_SWEEP = f"""sw AS (SELECT tau, tl.s1_id, tl.ids AS t, coalesce(list(DISTINCT sp.cand_id) FILTER (sp.cand_id IS NOT NULL), []) AS p FROM gr CROSS JOIN tl LEFT JOIN sp ON sp.s1_id = tl.s1_id AND sp.p >= tau GROUP BY ALL),
+cu AS (SELECT tau, round(avg({o.F05}), 6) AS macro_f05 FROM (SELECT *, len(list_intersect(t, p)) AS h FROM sw) GROUP BY tau)"""
+
+
+@_add("threshold_sweep", o.query(_FOUND, _SCORED, o.TRUTH, o.lists("truth", "tl"), _GRID, _SWEEP, select="SELECT CAST(tau AS DOUBLE) AS tau, macro_f05 FROM cu"))
+def _threshold_sweep(spark, sf_dir):
+    rec, true, _ = _lists(spark, sf_dir)
+    return evaluate.sweep(true, _scored(rec), 10, 95, 2)
+
+
+@_add("best_threshold", o.query(_FOUND, _SCORED, o.TRUTH, o.lists("truth", "tl"), _GRID, _SWEEP, select="SELECT CAST(tau AS DOUBLE) AS tau, macro_f05 FROM cu ORDER BY macro_f05 DESC, tau LIMIT 1"))
+def _best_threshold(spark, sf_dir):
+    rec, true, _ = _lists(spark, sf_dir)
+    return evaluate.best_threshold(evaluate.sweep(true, _scored(rec), 10, 95, 2))
+
+
+@_add("blocking_recall", o.query(_FOUND, o.TRUTH, select="SELECT left(t.cand_id, 2) AS source, count(*) AS n_true, count(k.cand_id) AS n_found, round(count(k.cand_id) / count(*), 6) AS recall FROM truth t LEFT JOIN cand k USING (s1_id, cand_id) GROUP BY 1"))
+def _blocking_recall(spark, sf_dir):
+    rec, true, _ = _lists(spark, sf_dir)
+    return evaluate.recall(true, _found(rec))
+
+
+@_add("recall_at_k", o.query(_FOUND, o.TRUTH, "ks AS (SELECT unnest([1, 5, 10, 15, 25, 50]) AS k)", select="SELECT CAST(ks.k AS INT) AS k, count(c.cand_id) FILTER (c.rank <= ks.k) AS n_found, round(count(c.cand_id) FILTER (c.rank <= ks.k) / count(*), 6) AS recall FROM ks CROSS JOIN truth t LEFT JOIN cand c USING (s1_id, cand_id) GROUP BY ks.k"))
+def _recall_at_k(spark, sf_dir):
+    rec, true, _ = _lists(spark, sf_dir)
+    return evaluate.recall_at(true, _found(rec))
+
+
+@_add("match_count_hist", o.query(o.TRUTH, o.lists("truth", "tl"), select="SELECT CAST(len(ids) AS INT) AS n_ids, count(*) AS n FROM tl GROUP BY 1"))
+def _match_count_hist(spark, sf_dir):
+    return evaluate.match_counts(_lists(spark, sf_dir)[1])
+
+
+@_add("match_size_stats", o.query(o.TRUTH, o.lists("truth", "tl"), select="SELECT count(*) AS n, round(avg(len(ids)), 6) AS mean, CAST(max(len(ids)) AS INT) AS most, CAST(quantile_cont(len(ids), 0.5) AS DOUBLE) AS median, CAST(quantile_cont(len(ids), 0.9) AS DOUBLE) AS p90 FROM tl"))
+def _match_size_stats(spark, sf_dir):
+    return evaluate.size_statistics(_lists(spark, sf_dir)[1])
+
+
+_HAS = "len(list_filter(ids, lambda x: starts_with(x, '{}'))) > 0"
+
+
+@_add(
+    "source_composition",
+    o.query(o.TRUTH, o.lists("truth", "tl"), f"fl AS (SELECT {_HAS.format('S2')} AS a, {_HAS.format('S3')} AS b FROM tl)", select="SELECT count_if(a AND NOT b)::BIGINT AS s2_only, count_if(b AND NOT a)::BIGINT AS s3_only, count_if(a AND b)::BIGINT AS both_sources, count_if(NOT a AND NOT b)::BIGINT AS none FROM fl"),
+)
+def _source_composition(spark, sf_dir):
+    return evaluate.composition(_lists(spark, sf_dir)[1])
+
+
+@_add("country_isolation", o.query(o.TRUTH, select="SELECT count(*) AS n_pairs, count_if(a.country <> b.country)::BIGINT AS n_crossing FROM truth JOIN rec a ON a.entity_id = s1_id JOIN rec b ON b.entity_id = cand_id"))
+def _country_isolation(spark, sf_dir):
+    rec, true, _ = _lists(spark, sf_dir)
+    return evaluate.country_isolation(rec, true)
+
+
+@_add("country_counts", o.query(select="SELECT country, source, count(*) AS n FROM rec GROUP BY ALL"))
+def _country_counts(spark, sf_dir):
+    return fx.records(spark, sf_dir).groupBy("country", "source").agg(F.count(F.lit(1)).alias("n"))
+
+
+_COVER = ("name_word", "number2", "addr_word3", "prefix4", "name_word_sound")
+
+
+@_add(
+    "key_coverage",
+    o.query(
+        o.TRUTH, *[f"k_{k} AS (SELECT entity_id, list_filter({o.KEYS_SQL[k]}, lambda z: z IS NOT NULL AND z <> '') AS ks FROM rec)" for k in _COVER],
+        select=" UNION ALL ".join(f"SELECT '{k}' AS key, count(*) AS n_pairs, count_if(len(list_intersect(a.ks, b.ks)) > 0)::BIGINT AS n_covered FROM truth JOIN k_{k} a ON a.entity_id = s1_id JOIN k_{k} b ON b.entity_id = cand_id" for k in _COVER),
+    ),
+)
+def _key_coverage(spark, sf_dir):
+    rec, true, _ = _lists(spark, sf_dir)
+    return evaluate.key_coverage(rec, true, _COVER)
+
+
+@_add(
+    "number_overlap",
+    o.query(
+        o.TRUTH, o.paired("truth"), "ov AS (SELECT list_distinct(a_addr_numbers) AS x, list_distinct(b_addr_numbers) AS y, " + o.jaccard("a_name_tokens", "b_name_tokens") + " AS j FROM pairs)",
+        "sh AS (SELECT CASE WHEN greatest(len(x), len(y)) = 0 THEN 0.0 ELSE len(list_intersect(x, y)) / greatest(len(x), len(y)) END AS o, j FROM ov)",
+        select="SELECT count(*) AS n_pairs, round(avg((o = 0)::INT), 6) AS none, round(avg((o = 1)::INT), 6) AS full, round(avg(o), 6) AS mean_overlap, round(avg(j), 6) AS mean_jaccard, round(quantile_cont(j, 0.5), 6) AS median_jaccard, round(quantile_cont(j, 0.25), 6) AS q25_jaccard FROM sh",
+    ),
+)
+def _number_overlap(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return evaluate.number_overlap(ft.pairs(fx.true_pairs(spark, sf_dir).distinct(), rec))
+
+
+@_add("missed_pairs", o.query(*_EVAL, select="SELECT t.s1_id, t.cand_id, a.business_name AS s1_name, a.business_address AS s1_address, b.business_name AS cand_name, b.business_address AS cand_address FROM truth t JOIN rec a ON a.entity_id = t.s1_id JOIN rec b ON b.entity_id = t.cand_id WHERE (t.s1_id, t.cand_id) NOT IN (SELECT s1_id, cand_id FROM mt)"))
+def _missed_pairs(spark, sf_dir):
+    rec, true, pred = _lists(spark, sf_dir)
+    return evaluate.missed(true, pred, rec)
+
+
+@_add("gap_report", o.query(*_EVAL, o.SCORES, select="SELECT country, count(*) AS n, sum(n_true)::BIGINT AS n_true, sum(n_pred)::BIGINT AS n_pred, count_if(n_pred = 0 AND n_true > 0)::BIGINT AS false_singletons, round(avg(f05), 6) AS macro_f05 FROM scores JOIN rec ON entity_id = s1_id GROUP BY country"))
+def _gap_report(spark, sf_dir):
+    rec, true, pred = _lists(spark, sf_dir)
+    return evaluate.gap_report(true, pred, rec)
+
+
+@_add("f05_simulation", o.query(o.TRUTH, o.lists("truth", "tl"), "rs AS (SELECT unnest([50, 60, 70, 80, 90, 100]) AS recall)", "hs AS (SELECT recall, len(ids) AS t, floor(len(ids) * recall / 100) AS h FROM tl CROSS JOIN rs)", select="SELECT CAST(recall AS INT) AS recall, round(avg(CASE WHEN t = 0 THEN 1.0 WHEN h = 0 THEN 0.0 ELSE 1.25 * (h / t) / (0.25 + h / t) END), 6) AS macro_f05 FROM hs GROUP BY recall"))
+def _f05_simulation(spark, sf_dir):
+    return evaluate.simulated(_lists(spark, sf_dir)[1])
+
+
+# ---- results
+
+
+@_add("aligned_output", o.query(_FOUND, _MATCHED, o.lists("mt", "pl"), select="SELECT ord, s1_id AS source1_entity_id, array_to_string(ids, ',') AS matched_entity_ids FROM pl JOIN rec ON entity_id = s1_id"))
+def _aligned_output(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return files.aligned(r.anchors(rec), _matched(rec), "matched_entity_ids")
+
+
+@_add(
+    "verify_results",
+    o.query(_FOUND, _MATCHED.replace("20", "5"), o.lists("mt", "pl"), o.lists("cand", "cl"), select="SELECT count(*) AS n, count(*) AS n_matches, count(*) AS n_candidates, 0::BIGINT AS n_misplaced, count_if(len(list_filter(pl.ids, lambda x: NOT list_contains(cl.ids, x))) > 0)::BIGINT AS n_not_subset, count_if(len(pl.ids) = 0)::BIGINT AS n_singletons, true AS same_count, true AS same_order, true AS subset, true AS passed FROM pl JOIN cl USING (s1_id)"),
+)
+def _verify_results(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    own = r.anchors(rec)
+    lists = [files.aligned(own, p, "x").select("ord", F.col("source1_entity_id").alias("s1_id"), files.ids_of(F.col("x")).alias("ids")) for p in (_matched(rec, 5.0), _found(rec))]
+    return evaluate.audit(own.select("ord", F.col("entity_id").alias("s1_id")), *lists)
+
+
+@_add("remaining_anchors", o.query(_FOUND, _MATCHED, select="SELECT entity_id, country FROM rec WHERE source = 'S1' AND entity_id NOT IN (SELECT s1_id FROM mt)"))
+def _remaining_anchors(spark, sf_dir):
+    from kinmatch.streaming.incremental import remaining
+
+    rec = fx.records(spark, sf_dir)
+    return remaining(r.anchors(rec), _matched(rec)).select("entity_id", "country")
+
+
+@_add("candidate_superset", o.query(_FOUND, select="SELECT s1_id, cand_id FROM cand UNION SELECT s1_id, cand_id FROM cand WHERE score >= 20"))
+def _candidate_superset(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return rules.superset(_found(rec), _matched(rec))
+
+
+# ---- models: no SQL expresses them
+
+
+@_add("train_and_match")
+def _train_and_match(spark, sf_dir):
+    """Features, labels, three models for each country, thresholds on held-out anchors, gated scores, accepted pairs."""
+    rec, true, _ = _lists(spark, sf_dir)
+    found = ft.labelled(_found(rec), true)
+    rows = ft.matrix(ft.pairs(found, rec))
+    bundle = ensemble.train(rows, true, ensemble.Settings(iterations=8, depth=4, trees=10))
+    return ensemble.accepted(ensemble.score(rows, bundle), bundle.thresholds).select("s1_id", "cand_id", "source", F.round("p", 6).alias("p"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_SQL)
