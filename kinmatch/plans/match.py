@@ -14,6 +14,14 @@ from kinmatch.sources import files
 from kinmatch.streaming.incremental import remaining
 
 
+def normalised_once(sources: DataFrame, path: str, any_script: bool = False) -> DataFrame:
+    """Normalised records, written by country and read again."""
+    records = r.normalised(sources, any_script)
+    columns = records.columns
+    records.withColumn("part", F.col("country")).write.partitionBy("part").mode("overwrite").parquet(path)
+    return sources.sparkSession.read.parquet(path).select(*columns)
+
+
 def scored_pairs(records: DataFrame, bundle: ensemble.Bundle, spec: Spec = blockers.IDF_TOP15, gate: float | None = c.GATE) -> DataFrame:
     """Candidate pairs with the ensemble's ``p``."""
     found = blocking.candidates(r.anchors(records), r.pool(records), spec)
@@ -30,16 +38,17 @@ def matched(scored: DataFrame, thresholds: dict[str, float], rescue: float | Non
 def predict(spark: SparkSession, sources: DataFrame, bundle: ensemble.Bundle, out: str, work: str, spec: Spec = blockers.IDF_TOP15, done: DataFrame | None = None) -> DataFrame:
     """Matches the anchors that aren't done yet and writes both result tables; one row of checks.
 
-    Scores are written to ``work`` once, since matches, closure and candidates all read them."""
-    check = min([*bundle.thresholds.values(), c.CLOSURE_FLOOR])
-    ensemble.check_gate(check)
-    records = r.normalised(sources)
+    ``work``, a folder that all executors share, gets the normalised records, by country, so that each key family reads
+    its own columns of them and nothing is normalised twice; and the scores, since matches, closure and candidates all
+    read them. Both survive the loss of executors."""
+    ensemble.check_gate(min([*bundle.thresholds.values(), c.CLOSURE_FLOOR]))
+    records = normalised_once(sources, f"{work}/records")
     own = r.anchors(records)
     if done is not None:
-        own = remaining(own, done)
+        own = remaining(own, done).select(*records.columns)
         records = own.unionByName(r.pool(records))
-    scored_pairs(records, bundle, spec).write.mode("overwrite").parquet(work)
-    scored = spark.read.parquet(work)
+    scored_pairs(records, bundle, spec).write.mode("overwrite").parquet(f"{work}/scores")
+    scored = spark.read.parquet(f"{work}/scores")
     pairs = matched(scored, bundle.thresholds)
     candidates = rules.superset(scored.select("s1_id", "cand_id"), pairs)
     files.write_results(own, pairs, candidates, out)

@@ -162,7 +162,7 @@ po AS ({_postings(spec, False)}),
 ix AS (SELECT po.*, coalesce(df, 0) AS df, n, row_number() OVER (PARTITION BY {", ".join("po." + g for g in group.split(", "))}, po.name, po.key ORDER BY ord, entity_id) AS place FROM po LEFT JOIN dfs USING ({group}, name, key) JOIN sz USING ({group})),
 ik AS (SELECT * FROM ix WHERE {pool}{f" AND (CASE name {share} END IS NULL OR df < CASE name {share} END * n)" if share else ""}{f" AND (CASE name {caps} END IS NULL OR place <= CASE name {caps} END)" if caps else ""}),
 pr AS ({probes}),
-pa AS (SELECT s1_id, entity_id AS cand_id, pr.country, source, s1_ord, ord AS cand_ord, CASE kind {weights} END AS w FROM pr JOIN ik USING (country, name, key) WHERE true{skips}),
+pa AS (SELECT s1_id, entity_id AS cand_id, pr.country, source, s1_ord, ord AS cand_ord, CAST(CASE kind {weights} END AS DOUBLE) AS w FROM pr JOIN ik USING (country, name, key) WHERE true{skips}),
 sc AS (SELECT s1_id, cand_id, country, source, s1_ord, cand_ord, round(sum(w), 6) AS score FROM pa GROUP BY ALL{" HAVING " + " AND ".join(having) if having else ""}),
 {tag} AS (SELECT *, CAST(row_number() OVER (PARTITION BY {part} ORDER BY score DESC, cand_ord, cand_id) AS INT) AS rank FROM sc{f" QUALIFY rank <= {spec.k}" if spec.k is not None else ""})"""
 
@@ -194,7 +194,7 @@ def jaccard(a: str, b: str) -> str:
 
 
 def flag(x: str) -> str:
-    return f"CASE WHEN coalesce({x}, false) THEN 1.0 ELSE 0.0 END"
+    return f"CAST(coalesce({x}, false) AS DOUBLE)"
 
 
 def pin(nums: str) -> str:
