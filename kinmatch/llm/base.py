@@ -59,8 +59,14 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Makes this package importable in the executors' Python workers, once for each application."""
+BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def ship(spark: SparkSession, small_batches: bool = False) -> None:
+    """Makes this package importable in the executors' Python workers, once for each application. ``small_batches``: a
+    thousand texts go to a worker at a time, if the session leaves Spark's own number unchanged."""
+    if small_batches and spark.conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

@@ -292,7 +292,7 @@ def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids",
     Null and empty texts have no ids. Repeated rows are encoded alike; an empty table stays empty. ``model``: path of a
     SentencePiece model whose normaliser changes nothing but spaces; the session's spark.kinmatch.pieces.model if not given.
     """
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, small_batches=True)
     held = _model(docs.sparkSession, model)
 
     @F.pandas_udf("ids array<int>, same boolean")
@@ -314,7 +314,7 @@ def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids",
 
 def decoded(docs: DataFrame, ids_col: str = "piece_ids", text_col: str = "decoded", model: str | None = None) -> DataFrame:
     """docs with a further column of the ids' texts; null ids give null."""
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, small_batches=True)
     held = _model(docs.sparkSession, model)
 
     @F.pandas_udf("string")

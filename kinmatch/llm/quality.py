@@ -70,7 +70,7 @@ def counts_column(text: Column) -> Column:
         for s in parts:
             yield pd.DataFrame([one(t) for t in s], columns=list(COUNTS), dtype="int64")
 
-    return of(text)
+    return of.asNondeterministic()(text)  # else a filter on the counts evaluates them a second time
 
 
 def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
@@ -158,7 +158,7 @@ def judged(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> D
     Repeated rows are counted and judged each. An empty table gives no rows. Columns other than doc_id, text, lang and
     source are ignored.
     """
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, small_batches=True)
     m = written(_measured(docs), "quality-counts")
     limits = written(fences(sketches(m), reach, min_group), "quality-limits")
     out = m.join(small(limits, 300), ["lang_key", "source_key"], "left")
@@ -169,7 +169,7 @@ def judged(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> D
 def filtered(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> DataFrame:
     """The rows of docs that are kept, with all their columns. Counts are taken a second time rather than shuffling texts
     to their verdicts."""
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, small_batches=True)
     m = written(_measured(docs).drop("doc_id"), "quality-counts")
     limits = written(fences(sketches(m), reach, min_group), "quality-limits")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")

@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words are one shingle. Repeated rows stay, each with the same component. Rows with a null id keep it and take their
     component's id from the others (null where there is none). An empty table gives no rows. Other columns are ignored.
     """
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, small_batches=True)
     base = written(docs.select(F.col(id_col).alias("id"), fingerprint_column(F.col(text_col), size).alias("fp")), "fingerprints")
     nodes = base.groupBy("fp").agg(F.min("id").alias("least"))
     roots = components(links(nodes, max_bits, max_list))

@@ -184,7 +184,7 @@ LEAVES = "lens array<int>, counts array<int>"
 def trees(docs: DataFrame, text_col: str = "text", tree_col: str = "token_tree", ranks: str | None = None) -> DataFrame:
     """docs with a further column, a struct of the lengths and token counts of the text's pre-tokens (the leaves of its
     tree), in place of one of that name. Null and empty texts have no leaves."""
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, small_batches=True)
     held = _ranks(docs.sparkSession, ranks)
 
     @F.pandas_udf(LEAVES)
@@ -206,7 +206,7 @@ def edited(docs: DataFrame, edits_col: str = "edits", text_col: str = "text", tr
     order; ends outside the text are clipped, null edits skipped, a null ``new`` is empty. A null text stays null and has
     no tokens. Repeated rows are edited each; an empty table stays empty.
     """
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, small_batches=True)
     held = _ranks(docs.sparkSession, ranks)
 
     @F.pandas_udf(f"text string, {LEAVES}, n_tokens long, n_tokens_after long, n_reencoded long")
@@ -234,7 +234,7 @@ def edited(docs: DataFrame, edits_col: str = "edits", text_col: str = "text", tr
 def recounted(docs: DataFrame, edits_col: str = "edits", text_col: str = "text", out_col: str = "counted", ranks: str | None = None) -> DataFrame:
     """trees() and edited() in one pass, for trees that needn't be kept: docs with a further struct column of
     ``n_pretokens``, ``n_tokens``, ``n_tokens_after`` and ``n_reencoded``. Cases as in edited()."""
-    ship(docs.sparkSession)
+    ship(docs.sparkSession, small_batches=True)
     held = _ranks(docs.sparkSession, ranks)
     names = ["n_pretokens", "n_tokens", "n_tokens_after", "n_reencoded"]
 
