@@ -113,7 +113,8 @@ PROBE = f"{END}{START}assistant ok"
 
 def with_probe(turns: DataFrame) -> DataFrame:
     """turns and conversation -1, whose texts are control strings."""
-    probe = turns.sparkSession.createDataFrame([(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id long, turn long, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    probe = turns.sparkSession.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(PROBE).alias("text"))
     return turns.select("conv_id", "turn", "role", "text").unionByName(probe)
 
 

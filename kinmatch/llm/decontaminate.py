@@ -20,7 +20,7 @@ from kinmatch.llm.base import small, written
 
 MASKS = ("1110101", "11010011", "1011011")
 WINDOW, MATCHED = 12, 75
-SPAN = max(map(len, MASKS))
+SPAN, CHUNK = max(map(len, MASKS)), 4096
 _TOKEN = r"[^\p{L}\p{N}]+"
 
 
@@ -33,11 +33,14 @@ def seeds(df: DataFrame, id_col: str, name: str) -> DataFrame:
     """(name, position, key) for every mask and position of each row's ``text``."""
     hashed = df.select(F.col(id_col).alias(name), F.transform(tokens(F.col("text")), lambda t: F.xxhash64(t)).alias("h"))
     hashed = hashed.where(F.size("h") >= min(map(len, MASKS)))
+    cuts = F.transform(F.sequence(F.lit(0), F.size("h") - 1, F.lit(CHUNK)), lambda i: F.struct(i.alias("at"), F.slice("h", i + 1, F.lit(CHUNK + SPAN - 1)).alias("h")))
+    parts = hashed.select(name, F.explode(cuts).alias("c")).select(name, F.col("c.at").alias("at"), F.col("c.h").alias("h"))  # a very long text is many rows
     shifted = [F.slice("h", k + 1, F.size("h")) if k else F.col("h") for k in range(SPAN)]
-    rows = hashed.select(name, F.inline(F.arrays_zip(F.sequence(F.lit(0), F.size("h") - 1).alias("position"), *[s.alias(f"h{k}") for k, s in enumerate(shifted)])))
+    own = F.transform("h", lambda h, k: F.when(k < CHUNK, F.col("at") + k))
+    rows = parts.select(name, F.inline(F.arrays_zip(own.alias("position"), *[s.alias(f"h{k}") for k, s in enumerate(shifted)])))
     rows = rows.toDF(name, "position", *[f"h{k}" for k in range(SPAN)])
     keys = [F.when(F.col(f"h{len(m) - 1}").isNotNull(), F.xxhash64(F.lit(i), *[F.col(f"h{k}") for k, c in enumerate(m) if c == "1"])) for i, m in enumerate(MASKS)]
-    return rows.select(name, "position", F.explode(F.array(*keys)).alias("key")).where("key IS NOT NULL")
+    return rows.select(name, "position", F.explode(F.array(*keys)).alias("key")).where("key IS NOT NULL AND position IS NOT NULL")
 
 
 def candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

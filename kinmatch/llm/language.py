@@ -34,7 +34,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall(text.lower()) if text else []
+    found = _WORD.findall(text.lower()) if text else []
+    return [w for w in found if w.isalpha() or any(map(str.isalpha, w))]  # the expression also takes signs like 1/2 and superscripts
 
 
 def features(word: str) -> list[int]:

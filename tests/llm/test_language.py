@@ -71,7 +71,7 @@ def test_cache_may_be_cleared(model, monkeypatch):
 
 
 def test_odd_rows(spark, model):
-    rows = [(1, None), (2, ""), (None, "123 --- !!"), (3, "the and of " * 50000 + "q" * 40000), (3, "the and of " * 50000 + "q" * 40000), (4, "Ж")]
+    rows = [(1, None), (2, ""), (None, "123 --- ½ ² !!"), (3, "the and of " * 50000 + "q" * 40000), (3, "the and of " * 50000 + "q" * 40000), (4, "Ж")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("language", F.lit("x")).withColumn("lang", F.lit("fr")).withColumn("score", F.lit(5))
     out = language.labelled(docs, model)
     assert set(out.columns) == set(docs.columns)
