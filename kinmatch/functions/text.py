@@ -183,11 +183,11 @@ def prefix(x: Column, n: int) -> Column:
     return F.when(F.length(x) >= n, F.left(x, F.lit(n)))
 
 
-def char_grams(x: Column, n: int = 3) -> Column:
-    """Distinct n-grams of a text without spaces."""
+def char_grams(x: Column, n: int = 3, once: bool = True) -> Column:
+    """n-grams of a text without spaces, each ``once`` or as often as they are there."""
     s = F.replace(x, F.lit(" "), F.lit(""))
     grams = F.transform(F.sequence(F.lit(1), F.greatest(F.length(s) - n + 1, F.lit(1))), lambda i: F.substr(s, i, F.lit(n)))
-    return F.when(F.length(s) >= n, F.array_distinct(grams)).otherwise(F.array().cast("array<string>"))
+    return F.when(F.length(s) >= n, F.array_distinct(grams) if once else grams).otherwise(F.array().cast("array<string>"))
 
 
 def initials(x: Column) -> Column:

@@ -66,18 +66,45 @@ RESCUE_A, RESCUE_B = rescue_index(15, 6, 12, 10, (300, 200)), rescue_index(12, 6
 COMPLETION = rescue_index(15, 6, 15, 5, (300, 200))
 
 
+def _plain_index(name: float, prefix: float, number: float, sound: float, over: int, sound_over: int) -> Spec:
+    """Plain idf on words and numbers, flat weights on prefixes and sounds; long lists are passed over."""
+    lists = (Postings("name", ("name_word",)), Postings("prefix", ("prefix4",)), Postings("number", ("number2",)), Postings("sound", ("name_word_sound",)))
+    probes = (Probe("name", "name_word", _idf(name), over), Probe("prefix", "prefix4", W(prefix), over), Probe("number", "number2", _idf(number, 1.0, 6, True), over), Probe("sound", "name_word_sound", W(sound), sound_over))
+    return Spec(lists, probes, 25, None, True, "plain")
+
+
 def _gram_index() -> Spec:
-    """The plain-idf index with character 3-grams and 3-letter prefixes."""
-    lists = (Postings("name", ("name_word",), cap=5000), Postings("gram", ("gram3",), cap=1000), Postings("prefix", ("prefix3",), cap=1500), Postings("number", ("number",), cap=1500))
-    probes = (Probe("name", "name_word", _idf(2.0)), Probe("gram", "gram3", _idf(0.8)), Probe("prefix", "prefix3", _idf(3.0)), Probe("number", "number", _idf(3.0, 1.0, 6, True)))
-    return Spec(lists, probes, 50, None, False, "plain")
+    """Whole-number weights with character 3-grams and 3-letter prefixes."""
+    lists = (Postings("name", ("name_word",), cap=3000), Postings("sound", ("name_sound",), cap=3000), Postings("prefix", ("prefix3",), cap=3000), Postings("number", ("number2",), cap=3000), Postings("gram", ("gram3_all",), cap=1000))
+    probes = (Probe("name", "name_token3", W(8, 5, 5)), Probe("sound", "name_word_sound", W(4)), Probe("prefix", "prefix3", W(4)), Probe("number", "number2", W(12, 4, 6, True)), Probe("gram", "gram3_all", W(0.8)))
+    return Spec(lists, probes, 30)
 
 
 def _pin_index() -> Spec:
-    """Postal codes as keys of their own, prefixes of four and three letters."""
-    lists = (Postings("name", ("name_word",), cap=2000), Postings("sound", ("name_word_sound",), cap=2000), Postings("pin", ("pin",), cap=2000), Postings("number", ("number",), cap=2000), Postings("addr", ("addr_word4",), cap=2000), Postings("p4", ("prefix4",), cap=2000), Postings("p3", ("prefix3",), cap=2000))
-    probes = (Probe("name", "name_word", W(3)), Probe("sound", "name_word_sound", W(1.5)), Probe("pin", "pin", W(5)), Probe("number", "number", W(1.5)), Probe("addr", "addr_word4", W(1)), Probe("p4", "prefix4", W(4)), Probe("p3", "prefix3", W(2)))
-    return Spec(lists, probes, 75, None, True)
+    """Postal codes as keys of their own; the prefix has four letters, or three where the name has no more."""
+    names = ("name", "prefix", "pin", "number", "addr")
+    keys = (("name_word",), ("prefix3", "prefix4"), ("pin",), ("number2",), ("addr_word4_name_stop",))
+    lists = tuple(Postings(n, k, cap=600) for n, k in zip(names, keys, strict=True))
+    probes = (Probe("name", "name_word", W(6, 4, 5)), Probe("prefix", "prefix4or3", W(4, 2, 4)), Probe("pin", "pin", W(5)), Probe("number", "number2", W(3)), Probe("addr", "addr_word4_name_stop", W(1)))
+    return Spec(lists, probes, 25)
+
+
+def _shared_idf(sound: float | None, name: float, number: float, addr_keys: str, number_keys: str, k: int, cap: int | None) -> Spec:
+    """The IDF index over both sources together."""
+    lists = [Postings("name", ("name_word",), None, 0.05, cap), Postings("number", (number_keys,), None, 0.05, cap), Postings("addr", (addr_keys,), None, 0.05, cap)]
+    probes = [Probe("name", "name_word", _idf(name)), Probe("number", number_keys, _idf(number, 1.5, 6, True)), Probe("addr", addr_keys, _idf(1.5))]
+    if sound is not None:
+        lists.append(Postings("sound", ("name_sound",), ("name_word_sound",), 0.05, cap and cap // 2))
+        probes.append(Probe("sound", "name_sound", _idf(sound)))
+    return Spec(tuple(lists), tuple(probes), k, None, False, "smooth")
+
+
+def _unstopped(cap: int) -> Spec:
+    """Whole-number weights without sounds; stop words are keys too."""
+    base = integer_index(cap, cap, 10**9, 25, None)
+    lists = tuple(Postings("name", ("name_token3",), cap=cap) if p.name == "name" else Postings(p.name, p.keys, cap=cap) for p in base.postings)
+    probes = tuple(Probe("name", "name_token3", p.weight) if p.postings == "name" else Probe(p.postings, p.keys, p.weight) for p in base.probes)
+    return Spec(lists, probes, 25)
 
 
 #: Further settings of the same plan, by what they trade.
@@ -86,15 +113,15 @@ VARIANTS = {
     "no_prefix": idf_index(caps=(1000, 500), prefix=None),
     "deep": idf_index(caps=(1500, 800), floor=None, k=30),
     "fast": idf_index(share=0.01, caps=(300, 300), floor=None),
-    "plain_idf": idf_index(share=1.1, caps=(5000, 1500), floor=None, k=50, prefix=3.0, number=(3.0, 1.0, 6), name=2.5, kind="plain"),
-    "plain_idf_wide": idf_index(share=1.1, caps=(5000, 1500), floor=None, k=50, prefix=4.0, number=(2.5, 1.0, 6), name=2.0, sound=2.0, kind="plain"),
+    "plain_idf": _plain_index(2.5, 3.0, 3.0, 1.5, 5000, 1500),
+    "plain_idf_wide": _plain_index(2.0, 4.0, 2.5, 2.0, 2000, 1000),
     "grams": _gram_index(),
     "pin": _pin_index(),
-    "long_lists": idf_index(share=1.1, caps=(2000, 2000), floor=None, k=100, prefix=None, number=(3.0, 1.5, 6), name=2.0, sound=None),
-    "long_lists_sound": idf_index(share=1.1, caps=(2000, 2000), floor=None, k=75, prefix=None, number=(3.5, 1.5, 6), name=2.0, sound=1.5),
-    "cap600": integer_index(600, 600, 349, 50, None),
-    "cap600_sound": integer_index(600, 600, 349, 50, ("India", "US", "France")),
-    "five_digit": idf_index(caps=(300, 300), number=(3.5, 1.5, 5)),
-    "shared_600": integer_index(600, 600, 349, 50, None, False),
-    "shared_5000": integer_index(5000, 5000, 4999, 50, None, False),
+    "shared_idf": _shared_idf(None, 2.0, 3.0, "addr_word4", "number2", 100, 2000),
+    "shared_idf_sound": _shared_idf(1.5, 3.0, 3.5, "addr_word3", "number", 75, 2000),
+    "cap600": _unstopped(600),
+    "cap600_sound": integer_index(600, 600, 10**9, 25, ("India", "US", "France")),
+    "five_digit": idf_index(share=0.01, caps=(300, 300), floor=None, prefix=None, sound=None, number=(3.5, 1.5, 5)),
+    "cap5000": integer_index(5000, 5000, 10**9, 15, ("India", "US", "France")),
+    "uncapped": integer_index(10**9, 10**9, 10**9, 15, ("India", "US", "France")),
 }

@@ -49,7 +49,10 @@ KEYS: dict[str, Callable[[], Column]] = {
     "prefix3": lambda: F.array(t.prefix(F.col("norm_name"), 3)),
     "prefix4": lambda: F.array(t.prefix(F.col("norm_name"), 4)),
     "prefix5": lambda: F.array(t.prefix(F.col("norm_name"), 5)),
+    "prefix4or3": lambda: F.array(F.coalesce(t.prefix(F.col("norm_name"), 4), t.prefix(F.col("norm_name"), 3))),
     "gram3": lambda: t.char_grams(F.col("norm_name"), 3),
+    "gram3_all": lambda: t.char_grams(F.col("norm_name"), 3, False),
+    "addr_word4_name_stop": lambda: _least(F.col("addr_tokens"), 4, c.NAME_STOP),
     "pin": lambda: F.array(t.indian_pin(F.col("norm_addr"))),
     "v2_number": lambda: t.long_numbers(F.col("light_addr")),
     "v2_name_word": lambda: t.words(F.col("light_name"), 3, c.RULE_STOP_V2),

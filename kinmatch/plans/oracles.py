@@ -105,7 +105,10 @@ KEYS_SQL = {
     "prefix3": f"[{prefix('norm_name', 3)}]",
     "prefix4": f"[{prefix('norm_name', 4)}]",
     "prefix5": f"[{prefix('norm_name', 5)}]",
+    "prefix4or3": f"[coalesce({prefix('norm_name', 4)}, {prefix('norm_name', 3)})]",
     "gram3": grams("norm_name"),
+    "gram3_all": grams("norm_name").removeprefix("list_distinct"),
+    "addr_word4_name_stop": least("addr_tokens", 4, c.NAME_STOP),
     "pin": "[regexp_extract(norm_addr, '\\b([1-9][0-9]{5})\\b', 1)]",
     "v2_number": LONG_NUMBERS,
     "v2_name_word": distinct(least(toks("light_name"), 3, c.RULE_STOP_V2)),
