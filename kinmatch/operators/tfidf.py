@@ -33,9 +33,15 @@ def _cut(w: Column, n: int):
     return lambda i: F.substr(w, i, F.lit(n))
 
 
+def _keyed(records: DataFrame) -> DataFrame:
+    """Records with ``key``: with ``ord`` two numbers that stand for the id, so that the product's many rows are summed by
+    keys of fixed width."""
+    return records.withColumn("key", F.xxhash64("entity_id"))
+
+
 def _counts(records: DataFrame, column: str, least: int, most: int) -> DataFrame:
-    rows = records.select("country", "source", "entity_id", "ord", F.explode(word_grams(F.col(column), least, most)).alias("gram"))
-    return rows.groupBy("country", "source", "entity_id", "ord", "gram").agg(F.count(F.lit(1)).alias("tf"))
+    rows = _keyed(records).select("country", "key", "ord", F.explode(word_grams(F.col(column), least, most)).alias("gram"))
+    return rows.groupBy("country", "key", "ord", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def cosine_top_k(anchors: DataFrame, pool: DataFrame, column: str = "norm_name", grams: tuple[int, int] = (2, 4), k: int = 20, max_features: int = 80_000, max_share: float | None = None, least: float = 0.01) -> DataFrame:
@@ -47,17 +53,22 @@ def cosine_top_k(anchors: DataFrame, pool: DataFrame, column: str = "norm_name",
     frequent = Window.partitionBy("country").orderBy(F.desc("total"), "gram")
     vocabulary = p.groupBy("country", "gram").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total"))
     vocabulary = vocabulary.withColumn("place", F.row_number().over(frequent)).where(F.col("place") <= max_features).join(F.broadcast(sizes), "country")
-    vocabulary = vocabulary.select("country", "gram", "df", "n", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
+    vocabulary = vocabulary.select("country", "gram", F.xxhash64("country", "gram").alias("feature"), "df", "n", (F.log((1 + F.col("n")) / (1 + F.col("df"))) + 1).alias("idf"))
 
     def weighted(rows: DataFrame) -> DataFrame:
         rows = rows.join(vocabulary, ["country", "gram"]).withColumn("w", F.col("tf") * F.col("idf"))
-        norms = rows.groupBy("country", "entity_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+        norms = rows.groupBy("key", "ord").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
         if max_share is not None:
             rows = rows.where(F.col("df") <= max_share * F.col("n"))
-        return rows.join(norms, ["country", "entity_id"]).select("country", "source", "gram", "entity_id", "ord", (F.col("w") / F.col("norm")).alias("w"))
-
-    left = weighted(a).select("country", "gram", F.col("entity_id").alias("s1_id"), F.col("ord").alias("s1_ord"), F.col("w").alias("w1"))
-    right = weighted(p).select("country", "gram", "source", F.col("entity_id").alias("cand_id"), F.col("ord").alias("cand_ord"), F.col("w").alias("w2"))
-    pairs = left.join(right, ["country", "gram"]).groupBy("s1_id", "cand_id", "country", "source", "s1_ord", "cand_ord").agg(F.round(F.sum(F.col("w1") * F.col("w2")), 6).alias("score"))
-    pairs = pairs.join(F.broadcast(sizes), "country").where(F.col("score") > F.when(F.col("n") <= k, 0.0).otherwise(least))
-    return best(pairs, k, False)
+        return rows.join(norms, ["key", "ord"]).select("feature", "key", "ord", "n", (F.col("w") / F.col("norm")).alias("w"))
+
+    left = weighted(a).select("feature", F.col("key").alias("key1"), F.col("ord").alias("s1_ord"), F.col("w").alias("w1"))
+    right = weighted(p).select("feature", "n", F.col("key").alias("key2"), F.col("ord").alias("cand_ord"), F.col("w").alias("w2"))
+    pairs = left.join(right, "feature").groupBy("key1", "s1_ord", "key2", "cand_ord").agg(F.round(F.sum(F.col("w1") * F.col("w2")), 6).alias("score"), F.max("n").alias("n"))
+    pairs = pairs.where(F.col("score") > F.when(F.col("n") <= k, 0.0).otherwise(least))
+    # more than k may tie on score and ordinal with other ids; the ids decide, so ranks are taken twice
+    order = Window.partitionBy("key1", "s1_ord").orderBy(F.desc("score"), "cand_ord")
+    few = pairs.withColumn("place", F.rank().over(order)).where(F.col("place") <= k)
+    own = _keyed(anchors).select(F.col("key").alias("key1"), F.col("ord").alias("s1_ord"), F.col("entity_id").alias("s1_id"), "country")
+    other = _keyed(pool).select(F.col("key").alias("key2"), F.col("ord").alias("cand_ord"), F.col("entity_id").alias("cand_id"), "source")
+    return best(few.join(own, ["key1", "s1_ord"]).join(other, ["key2", "cand_ord"]), k, False)

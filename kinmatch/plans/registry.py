@@ -90,7 +90,7 @@ _CAND = "SELECT * FROM cand"
 
 def _block(spec):
     def run(spark, sf_dir):
-        rec = fx.records(spark, sf_dir)
+        rec = fx.kept_records(spark, sf_dir)
         return blocking.candidates(r.anchors(rec), r.pool(rec), spec)
 
     return run
@@ -117,7 +117,7 @@ def _idf_weights(spark, sf_dir):
 
 def _cosine(column, grams):
     def run(spark, sf_dir):
-        rec = fx.records(spark, sf_dir)
+        rec = fx.kept_records(spark, sf_dir)
         return tfidf.cosine_top_k(r.anchors(rec), r.pool(rec), column, grams, 20)
 
     return run
@@ -128,7 +128,7 @@ _add("tfidf_addr_top20", o.query(o.tfidf("norm_addr", 3, 5, 20), select=_CAND))(
 
 
 def _several(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return [blocking.candidates(r.anchors(rec), r.pool(rec), s) for s in (bl.TOKEN_OVERLAP, bl.PREFIX5, bl.NUMERIC)]
 
 
@@ -162,7 +162,7 @@ def _block_priority_union(spark, sf_dir):
 
 @_add("block_all_anchors", o.query(o.candidates(bl.INTEGER_TOP15), o.lists("cand", "li"), select="SELECT s1_id, array_to_string(ids, ',') AS candidates FROM li"))
 def _block_all_anchors(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     out = blocking.with_all_anchors(r.anchors(rec), _found(rec))
     return out.select("s1_id", _joined(F.col("candidates")).alias("candidates"))
 
@@ -179,20 +179,20 @@ _FOUND = o.candidates(bl.INTEGER_TOP15)
 
 @_add("features_array", o.query(_FOUND, o.paired(), select="SELECT s1_id, cand_id, " + ", ".join(f"round({v}, 6) AS {k}" for k, v in o.FEATURES.items()) + " FROM pairs"))
 def _features_array(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return ft.pairs(_found(rec), rec).select("s1_id", "cand_id", *[F.round(v, 6).alias(k) for k, v in ft.native().items()])
 
 
 @_add("features_jw", o.query(_FOUND, o.paired(), select=f"SELECT s1_id, cand_id, {o.jw('a_norm_name', 'b_norm_name')} AS jw_name, {o.jw('a_norm_addr', 'b_norm_addr')} AS jw_addr, CAST(levenshtein(a_norm_name, b_norm_name) AS INT) AS edits FROM pairs"))
 def _features_jw(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     jw = lambda c: F.round(sim.jaro_winkler_column(F.col(f"a_{c}"), F.col(f"b_{c}")), 6)
     return ft.pairs(_found(rec), rec).select("s1_id", "cand_id", jw("norm_name").alias("jw_name"), jw("norm_addr").alias("jw_addr"), F.levenshtein("a_norm_name", "b_norm_name").alias("edits"))
 
 
 @_add("features_all")
 def _features_all(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return ft.featurized(ft.pairs(_found(rec), rec)).select("s1_id", "cand_id", *[F.round(c, 6).alias(c) for c in (*ft.FEATURE_NAMES, *ft.EXTRA_NAMES)])
 
 
@@ -204,7 +204,7 @@ def _rule_sql(version: int) -> str:
 
 def _rule(version: int):
     def run(spark, sf_dir):
-        rec = fx.records(spark, sf_dir)
+        rec = fx.kept_records(spark, sf_dir)
         jw = lambda c: 100 * F.round(sim.jaro_winkler_column(F.col(f"a_light_{c}"), F.col(f"b_light_{c}")), 6)
         return rules.scored(ft.pairs(_found(rec), rec), version, F.struct(jw("name").alias("n"), jw("addr").alias("a"))).select("s1_id", "cand_id", "rule_score")
 
@@ -213,7 +213,7 @@ def _rule(version: int):
 
 def _rule_matches(version: int):
     def run(spark, sf_dir):
-        rec = fx.records(spark, sf_dir)
+        rec = fx.kept_records(spark, sf_dir)
         return rules.matches(r.anchors(rec), r.pool(rec), rec, version)
 
     return run
@@ -241,12 +241,12 @@ _RESCUED = "re AS (SELECT s1_id, cand_id, source, p FROM ok UNION ALL SELECT s1_
 
 @_add("threshold_accept", o.query(_FOUND, _SCORED, _OK, select="SELECT s1_id, cand_id, source, p FROM ok"))
 def _threshold_accept(spark, sf_dir):
-    return ensemble.accepted(_scored(fx.records(spark, sf_dir)), _TAU).select("s1_id", "cand_id", "source", "p")
+    return ensemble.accepted(_scored(fx.kept_records(spark, sf_dir)), _TAU).select("s1_id", "cand_id", "source", "p")
 
 
 @_add("singleton_rescue", o.query(_FOUND, _SCORED, _OK, _BEST, _RESCUED, select="SELECT * FROM re"))
 def _singleton_rescue(spark, sf_dir):
-    return ensemble.accepted(_scored(fx.records(spark, sf_dir)), _TAU, 0.2).select("s1_id", "cand_id", "source", "p")
+    return ensemble.accepted(_scored(fx.kept_records(spark, sf_dir)), _TAU, 0.2).select("s1_id", "cand_id", "source", "p")
 
 
 def _closure_sql(floor: str, same: str) -> str:
@@ -255,13 +255,13 @@ def _closure_sql(floor: str, same: str) -> str:
 
 @_add("triangle_closure", o.query(_FOUND, _SCORED, _OK, _BEST, _RESCUED, select=_closure_sql(" AND y.p >= 0.3", "(x.ba = y.ba OR x.ba = '' OR y.ba = '')").format(m="re")))
 def _triangle_closure(spark, sf_dir):
-    s = _scored(fx.records(spark, sf_dir))
+    s = _scored(fx.kept_records(spark, sf_dir))
     return rules.closure(s, ensemble.accepted(s, _TAU, 0.2), 0.3)
 
 
 @_add("triangle_closure_strict", o.query(_FOUND, _SCORED, _OK, _BEST, _RESCUED, select=_closure_sql("", "x.ba = y.ba").format(m="re")))
 def _triangle_closure_strict(spark, sf_dir):
-    s = _scored(fx.records(spark, sf_dir))
+    s = _scored(fx.kept_records(spark, sf_dir))
     return rules.closure(s, ensemble.accepted(s, _TAU, 0.2), None, True)
 
 
@@ -291,7 +291,7 @@ _RESCUE_OK = "NOT conflict AND CASE WHEN shared THEN ratio >= 72 ELSE ratio >= 8
     o.query(_renamed(bl.INTEGER_TOP15, "m"), "mt AS (SELECT * FROM cand_m WHERE score >= 20)", o.candidates(bl.RESCUE_A, "source = 'S1' AND entity_id NOT IN (SELECT s1_id FROM mt)"), _raw_sql("cand", "rw"), select=f"SELECT s1_id, cand_id, source, ratio FROM rw WHERE {_RESCUE_OK} QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY ratio DESC, cand_ord, cand_id) <= 4"),
 )
 def _rescue_empty(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return rules.rescue_empty(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
 
 
@@ -304,7 +304,7 @@ def _rescue_empty(spark, sf_dir):
     ),
 )
 def _rescue_few(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return rules.rescue_few(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
 
 
@@ -322,7 +322,7 @@ _DEEP = bl.Spec(bl.COMPLETION.postings, bl.COMPLETION.probes, None, None, False)
     ),
 )
 def _dual_source_completion(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return rules.complete_sources(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
 
 
@@ -336,7 +336,7 @@ def _scrub_sql() -> str:
 
 @_add("precision_scrub", o.query(_FOUND, _MATCHED.replace("20", "5"), select=_scrub_sql()))
 def _precision_scrub(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return rules.scrub(_matched(rec, 5.0), rec)
 
 
@@ -344,7 +344,7 @@ def _precision_scrub(spark, sf_dir):
 
 
 def _lists(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     own = r.anchors(rec)
     return rec, evaluate.listed(own, fx.true_pairs(spark, sf_dir)), evaluate.listed(own, _matched(rec))
 
@@ -461,7 +461,7 @@ def _key_coverage(spark, sf_dir):
     ),
 )
 def _number_overlap(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return evaluate.number_overlap(ft.pairs(fx.true_pairs(spark, sf_dir).distinct(), rec))
 
 
@@ -487,7 +487,7 @@ def _f05_simulation(spark, sf_dir):
 
 @_add("aligned_output", o.query(_FOUND, _MATCHED, o.lists("mt", "pl"), select="SELECT ord, s1_id AS source1_entity_id, array_to_string(ids, ',') AS matched_entity_ids FROM pl JOIN rec ON entity_id = s1_id"))
 def _aligned_output(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return files.aligned(r.anchors(rec), _matched(rec), "matched_entity_ids")
 
 
@@ -496,7 +496,7 @@ def _aligned_output(spark, sf_dir):
     o.query(_FOUND, _MATCHED.replace("20", "5"), o.lists("mt", "pl"), o.lists("cand", "cl"), select="SELECT count(*) AS n, count(*) AS n_matches, count(*) AS n_candidates, 0::BIGINT AS n_misplaced, count_if(len(list_filter(pl.ids, lambda x: NOT list_contains(cl.ids, x))) > 0)::BIGINT AS n_not_subset, count_if(len(pl.ids) = 0)::BIGINT AS n_singletons, true AS same_count, true AS same_order, true AS subset, true AS passed FROM pl JOIN cl USING (s1_id)"),
 )
 def _verify_results(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     own = r.anchors(rec)
     lists = [files.aligned(own, p, "x").select("ord", F.col("source1_entity_id").alias("s1_id"), files.ids_of(F.col("x")).alias("ids")) for p in (_matched(rec, 5.0), _found(rec))]
     return evaluate.audit(own.select("ord", F.col("entity_id").alias("s1_id")), *lists)
@@ -506,13 +506,13 @@ def _verify_results(spark, sf_dir):
 def _remaining_anchors(spark, sf_dir):
     from kinmatch.streaming.incremental import remaining
 
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return remaining(r.anchors(rec), _matched(rec)).select("entity_id", "country")
 
 
 @_add("candidate_superset", o.query(_FOUND, select="SELECT s1_id, cand_id FROM cand UNION SELECT s1_id, cand_id FROM cand WHERE score >= 20"))
 def _candidate_superset(spark, sf_dir):
-    rec = fx.records(spark, sf_dir)
+    rec = fx.kept_records(spark, sf_dir)
     return rules.superset(_found(rec), _matched(rec))
 
 
