@@ -208,7 +208,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lowest = linked.groupBy("root").agg(F.min("least").alias("lowest"))
     of = nodes.join(linked.join(lowest, "root").select("fp", "lowest"), "fp", "left").select("fp", F.coalesce("lowest", "least").alias("component_id"))
     of = written(of, "components")
-    return base.join(small(of, 32), "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    # as many rows as fingerprints: never broadcast by us; both sides are tables, so a fingerprint with many copies is split
+    return base.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def first_of_groups(docs: DataFrame, **settings) -> DataFrame:
@@ -219,7 +220,7 @@ def first_of_groups(docs: DataFrame, **settings) -> DataFrame:
     ids = near_duplicates(docs, **settings).groupBy(F.col("doc_id").alias("id"))
     marks = ids.agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count(F.lit(1)).alias("n"))
     marks = written(marks.where("id IS NOT NULL AND (NOT first OR n > 1)"), "marks")
-    out = docs.select(row).join(small(marks, 32), F.col("row.doc_id") == F.col("id"), "left").where("first IS NULL OR first")
+    out = docs.select(row).join(small(marks, 80), F.col("row.doc_id") == F.col("id"), "left").where("first IS NULL OR first")
     if not marks.where("first").isEmpty():
         out = out.where("n IS NULL").unionByName(out.where("n IS NOT NULL").dropDuplicates(["id"]))
     return out.select("row.*")
