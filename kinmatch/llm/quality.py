@@ -131,8 +131,10 @@ def fences(sketch: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) ->
     wide = written(wide, "fences")
     names = [c for c in wide.columns if c.endswith(("_most", "_least"))]
     own, lang, everything = (wide.where(F.col("level") == k).select("lang_key", "source_key", F.struct("total", *names).alias(f"f{k}")) for k in range(3))
-    out = own.join(lang.drop("source_key"), "lang_key").join(F.broadcast(everything.select("f2")))  # f2: one row
-    best = F.when(F.col("f0.total") >= min_group, F.col("f0")).when(F.col("f1.total") >= min_group, F.col("f1")).otherwise(F.col("f2"))
+    one = everything.first()  # one row of numbers; none where no document passes the base rules
+    overall = F.struct(*[F.lit(one["f2"][n] if one else None).cast("long").alias(n) for n in ("total", *names)])
+    out = own.join(lang.drop("source_key"), "lang_key")
+    best = F.when(F.col("f0.total") >= min_group, F.col("f0")).when(F.col("f1.total") >= min_group, F.col("f1")).otherwise(overall)
     return out.select("lang_key", "source_key", best.alias("f")).select("lang_key", "source_key", *[F.col(f"f.{n}").alias(n) for n in names])
 
 
