@@ -36,7 +36,7 @@ def seeds(df: DataFrame, id_col: str, name: str) -> DataFrame:
     cuts = F.transform(F.sequence(F.lit(0), F.size("h") - 1, F.lit(CHUNK)), lambda i: F.struct(i.alias("at"), F.slice("h", i + 1, F.lit(CHUNK + SPAN - 1)).alias("h")))
     parts = hashed.select(name, F.explode(cuts).alias("c")).select(name, F.col("c.at").alias("at"), F.col("c.h").alias("h"))  # a very long text is many rows
     shifted = [F.slice("h", k + 1, F.size("h")) if k else F.col("h") for k in range(SPAN)]
-    own = F.transform("h", lambda h, k: F.when(k < CHUNK, F.col("at") + k))
+    own = F.sequence(F.col("at"), F.col("at") + F.least(F.size("h"), F.lit(CHUNK)) - 1)  # shorter than h where the next part begins
     rows = parts.select(name, F.inline(F.arrays_zip(own.alias("position"), *[s.alias(f"h{k}") for k, s in enumerate(shifted)])))
     rows = rows.toDF(name, "position", *[f"h{k}" for k in range(SPAN)])
     keys = [F.when(F.col(f"h{len(m) - 1}").isNotNull(), F.xxhash64(F.lit(i), *[F.col(f"h{k}") for k, c in enumerate(m) if c == "1"])) for i, m in enumerate(MASKS)]

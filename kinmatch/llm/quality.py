@@ -28,8 +28,8 @@ RATES = {
     "symbol_rate": ("n_symbols", "word_chars", 1000, 10, False),
     "capital_rate": ("n_capitals", "word_chars", 1000, 20, False),
     "shout_rate": ("n_shouts", "word_chars", 1000, 10, False),
-    "dup_line_rate": ("n_dup_lines", "n_lines", 1000, 80, False),
-    "repeat_rate": ("n_repeat_words", "n_words", 1000, 70, False),
+    "dup_line_rate": ("n_dup_lines", "n_lines", 1000, 100, False),
+    "repeat_rate": ("n_repeat_words", "n_words", 1000, 100, False),
     "word_length": ("word_chars", "n_words", 100, 40, True),
 }
 REACH = 5
