@@ -43,10 +43,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def removed(spark: SparkSession, path: str) -> None:
-    """Deletes a folder through Hadoop's file system layer, whatever store it is in."""
+def cleared(spark: SparkSession) -> None:
+    """Deletes what the operators have written to the shared folder, through Hadoop's file system layer. Only for when no
+    result of theirs is still to be read."""
     jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/kinmatch")
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
