@@ -12,8 +12,6 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: White space between words, as a regular expression class: space and the five ASCII controls tab to carriage return.
-SPACE = r"[\x20\x09-\x0D]+"
 #: Bytes a broadcast table may have before it is joined by a shuffle instead.
 BROADCAST_BYTES = 64 << 20
 
@@ -89,11 +87,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def words(text: Column) -> Column:
-    """Words of a text in order (null: none)."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
-
-
 def crc_fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
