@@ -60,15 +60,15 @@ def cosine_top_k(anchors: DataFrame, pool: DataFrame, column: str = "norm_name",
         norms = rows.groupBy("key", "ord").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
         if max_share is not None:
             rows = rows.where(F.col("df") <= max_share * F.col("n"))
-        return rows.join(norms, ["key", "ord"]).select("feature", "key", "ord", "n", (F.col("w") / F.col("norm")).alias("w"))
+        return rows.join(norms, ["key", "ord"]).select("feature", "key", "ord", (F.col("w") / F.col("norm")).alias("w"))
 
     left = weighted(a).select("feature", F.col("key").alias("key1"), F.col("ord").alias("s1_ord"), F.col("w").alias("w1"))
-    right = weighted(p).select("feature", "n", F.col("key").alias("key2"), F.col("ord").alias("cand_ord"), F.col("w").alias("w2"))
-    pairs = left.join(right, "feature").groupBy("key1", "s1_ord", "key2", "cand_ord").agg(F.round(F.sum(F.col("w1") * F.col("w2")), 6).alias("score"), F.max("n").alias("n"))
-    pairs = pairs.where(F.col("score") > F.when(F.col("n") <= k, 0.0).otherwise(least))
+    right = weighted(p).select("feature", F.col("key").alias("key2"), F.col("ord").alias("cand_ord"), F.col("w").alias("w2"))
+    pairs = left.join(right, "feature").groupBy("key1", "s1_ord", "key2", "cand_ord").agg(F.round(F.sum(F.col("w1") * F.col("w2")), 6).alias("score")).where("score > 0")
     # more than k may tie on score and ordinal with other ids; the ids decide, so ranks are taken twice
     order = Window.partitionBy("key1", "s1_ord").orderBy(F.desc("score"), "cand_ord")
     few = pairs.withColumn("place", F.rank().over(order)).where(F.col("place") <= k)
     own = _keyed(anchors).select(F.col("key").alias("key1"), F.col("ord").alias("s1_ord"), F.col("entity_id").alias("s1_id"), "country")
     other = _keyed(pool).select(F.col("key").alias("key2"), F.col("ord").alias("cand_ord"), F.col("entity_id").alias("cand_id"), "source")
-    return best(few.join(own, ["key1", "s1_ord"]).join(other, ["key2", "cand_ord"]), k, False)
+    found = best(few.join(own, ["key1", "s1_ord"]).join(other, ["key2", "cand_ord"]), k, False)
+    return found.join(F.broadcast(sizes), "country").where((F.col("score") > least) | (F.col("n") <= k)).select(*found.columns)
