@@ -5,7 +5,7 @@ Truth and predictions are (s1_id, ids): an array for each anchor, empty for a si
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinmatch.operators import features as ft
@@ -147,6 +147,22 @@ def number_overlap(paired: DataFrame) -> DataFrame:
     )
 
 
+def buckets(rows: DataFrame, value: Column, edges: tuple[float, ...]) -> DataFrame:
+    """(below, n, share): how many rows have a value below each edge; one pass for all edges."""
+    one = rows.agg(F.count(F.lit(1)).alias("all"), *[F.count_if(value < e).alias(f"b{i}") for i, e in enumerate(edges)])
+    each = F.explode(F.array(*[F.struct(F.lit(float(e)).alias("below"), F.col(f"b{i}").alias("n")) for i, e in enumerate(edges)])).alias("x")
+    return one.select("all", each).select("x.below", "x.n", F.round(F.when(F.col("all") > 0, F.col("x.n") / F.col("all")).otherwise(0.0), 6).alias("share"))
+
+
+def stratified_sample(truth: DataFrame, per_stratum: int) -> DataFrame:
+    """(s1_id, singleton): the same number of singletons and of matched anchors, by the hash of their ids, so the same ones
+    each time. Spark limits each stratum before it shuffles."""
+    single = (F.size("ids") == 0).cast("int").alias("singleton")
+    order = Window.partitionBy("singleton").orderBy(F.md5(F.col("s1_id").cast("binary")), "s1_id")
+    out = truth.select("s1_id", single).withColumn("place", F.row_number().over(order))
+    return out.where(F.col("place") <= per_stratum).select("s1_id", "singleton")
+
+
 def missed(truth: DataFrame, predicted: DataFrame, records: DataFrame) -> DataFrame:
     """True pairs that the prediction lacks, with both records' names and addresses, to look at."""
     gap = truth.select("s1_id", F.explode("ids").alias("cand_id")).distinct().join(predicted.select("s1_id", F.explode("ids").alias("cand_id")), ["s1_id", "cand_id"], "left_anti")

@@ -465,6 +465,22 @@ def _number_overlap(spark, sf_dir):
     return evaluate.number_overlap(ft.pairs(fx.true_pairs(spark, sf_dir).distinct(), rec))
 
 
+_EDGES = (0.5, 0.6, 0.7, 0.8, 0.9, 0.95)
+
+
+@_add("similarity_buckets", o.query(o.TRUTH, o.paired("truth"), f"jj AS (SELECT {o.jw('a_norm_name', 'b_norm_name')} AS j FROM pairs), ed AS (SELECT unnest({list(_EDGES)}) AS e)", select="SELECT CAST(e AS DOUBLE) AS below, count_if(j < e)::BIGINT AS n, round(count_if(j < e) / count(*), 6) AS share FROM ed CROSS JOIN jj GROUP BY e"))
+def _similarity_buckets(spark, sf_dir):
+    rec = fx.kept_records(spark, sf_dir)
+    p = ft.pairs(fx.true_pairs(spark, sf_dir).distinct(), rec)
+    rows = p.select(F.round(sim.jaro_winkler_column(F.col("a_norm_name"), F.col("b_norm_name")), 6).alias("j"))
+    return evaluate.buckets(rows, F.col("j"), _EDGES)
+
+
+@_add("stratified_sample", o.query(o.TRUTH, o.lists("truth", "tl"), select="SELECT s1_id, CAST(len(ids) = 0 AS INT) AS singleton FROM tl QUALIFY row_number() OVER (PARTITION BY len(ids) = 0 ORDER BY md5(s1_id), s1_id) <= 40"))
+def _stratified_sample(spark, sf_dir):
+    return evaluate.stratified_sample(_lists(spark, sf_dir)[1], 40)
+
+
 @_add("missed_pairs", o.query(*_EVAL, select="SELECT t.s1_id, t.cand_id, a.business_name AS s1_name, a.business_address AS s1_address, b.business_name AS cand_name, b.business_address AS cand_address FROM truth t JOIN rec a ON a.entity_id = t.s1_id JOIN rec b ON b.entity_id = t.cand_id WHERE (t.s1_id, t.cand_id) NOT IN (SELECT s1_id, cand_id FROM mt)"))
 def _missed_pairs(spark, sf_dir):
     rec, true, pred = _lists(spark, sf_dir)
