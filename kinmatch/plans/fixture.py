@@ -33,20 +33,6 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.normalised(entities(spark, sf_dir))
 
 
-_kept: list[DataFrame] = []
-
-
-def kept_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """records() for a query that reads them several times: kept in memory, or on disk where that is short, until the next
-    such query begins. Lost parts are computed again."""
-    while _kept:
-        before = _kept.pop()
-        if before.sparkSession.sparkContext._jsc is not None:  # else its session has ended
-            before.unpersist()
-    _kept.append(records(spark, sf_dir).persist())
-    return _kept[-1]
-
-
 def true_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = entities(spark, sf_dir).select("entity_id", "country", "gk")
     a = e.where("entity_id like 'S1-%'").selectExpr("entity_id as s1_id", "country", "gk")
