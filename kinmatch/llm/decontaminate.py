@@ -83,8 +83,8 @@ def verified(pairs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs, with all columns, that hold no benchmark item."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    bad = written(overlaps(docs, benchmark).select(F.col("doc_id").alias("bad")).distinct(), "contaminated")
-    return docs.select(row).join(small(bad, 64), F.col("row.doc_id").eqNullSafe(F.col("bad")), "left_anti").select("row.*")
+    bad = written(overlaps(docs, benchmark).select(F.col("doc_id").alias("bad")).distinct().withColumn("hit", F.lit(True)), "contaminated")
+    return docs.select(row).join(small(bad, 80), F.col("row.doc_id").eqNullSafe(F.col("bad")), "left").where("hit IS NULL").select("row.*")
 
 
 def sql() -> str:

@@ -4,9 +4,9 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinmatch.llm import decontaminate, pieces, pii, quality
+from kinmatch.llm import decontaminate, pieces, pii, quality, simhash
 from tests.llm.helpers import rows_of
-from tests.llm.test_simhash import plain_components, plain_fingerprint
+from tests.llm.test_simhash import plain_wide_components
 
 SF = "/root/testdata/sf0.01"
 
@@ -20,7 +20,7 @@ def plain_run(sf_dir):
     kept = {r[0] for r in con.sql(f"SELECT doc_id FROM ({quality.sql()}) WHERE kept").fetchall()}
     docs = {r[0]: r for r in con.sql("SELECT doc_id, text, lang, source FROM documents").fetchall() if r[0] in kept}
     ids = sorted(docs)
-    root = plain_components(ids, [plain_fingerprint(docs[i][1]) for i in ids])
+    root = plain_wide_components(ids, [simhash.wide_fingerprint(docs[i][1], 2, 4) for i in ids])
     ids = [i for i, r in zip(ids, root, strict=True) if i == r]
     con.execute("CREATE TABLE left_docs AS SELECT * FROM all_docs WHERE list_contains(?, doc_id)", [ids])
     con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM left_docs")
