@@ -11,9 +11,10 @@ import json
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -70,7 +71,9 @@ def check_gate(least: float, gate: float = c.GATE, blend: tuple[float, float, fl
 
 def fit(rows: DataFrame, s: Settings = Settings()) -> list[PipelineModel]:
     """Boosted trees with weighted positives, boosted trees on subsamples, and a forest with balanced classes, from
-    feature rows with ``label``."""
+    feature rows with ``label``. The forest is a regression on the labels 0 and 1, whose mean is the probability: a
+    classifier's model would carry a summary with the session, which cannot go to executors once a session observes
+    metrics."""
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
     even = F.when(F.col("label") == 1, total / (2 * max(1, counts.get(1, 0)))).otherwise(total / (2 * max(1, counts.get(0, 0))))
@@ -80,7 +83,7 @@ def fit(rows: DataFrame, s: Settings = Settings()) -> list[PipelineModel]:
     parts = (
         GBTClassifier(maxIter=s.iterations, maxDepth=s.depth, stepSize=s.step, weightCol="weight", **common),
         GBTClassifier(maxIter=s.iterations, maxDepth=s.depth, stepSize=s.step, subsamplingRate=0.85, **common),
-        RandomForestClassifier(numTrees=s.trees, maxDepth=min(s.depth + 3, 12), weightCol="even", **common),
+        RandomForestRegressor(numTrees=s.trees, maxDepth=min(s.depth + 3, 12), weightCol="even", featureSubsetStrategy="sqrt", **common),
     )
     return [Pipeline(stages=[vector, p]).fit(rows) for p in parts]
 
@@ -92,7 +95,8 @@ def importances(model: PipelineModel, top: int = 10) -> list[tuple[str, float]]:
 
 
 def _score(rows: DataFrame, model: PipelineModel, name: str) -> DataFrame:
-    out = model.transform(rows).withColumn(name, vector_to_array("probability")[1])
+    out = model.transform(rows)
+    out = out.withColumn(name, vector_to_array("probability")[1] if "probability" in out.columns else F.col("prediction"))
     return out.drop("features", "rawPrediction", "probability", "prediction")
 
 
