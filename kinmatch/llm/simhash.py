@@ -321,8 +321,13 @@ def first_of_groups(docs: DataFrame, wide: bool = False, **settings) -> DataFram
     smallest id.
 
     All columns stay as they are. Rows that repeat an id are one document: one of them stays. Rows with a null id stay."""
+    return first_of(docs, (wide_near_duplicates if wide else near_duplicates)(docs, **settings))
+
+
+def first_of(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """first_of_groups() by given ``groups`` (doc_id, component_id)."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    ids = (wide_near_duplicates if wide else near_duplicates)(docs, **settings).groupBy(F.col("doc_id").alias("id"))
+    ids = groups.groupBy(F.col("doc_id").alias("id"))
     marks = ids.agg(F.max(F.col("doc_id") == F.col("component_id")).alias("first"), F.count(F.lit(1)).alias("n"))
     marks = written(marks.where("id IS NOT NULL AND (NOT first OR n > 1)"), "marks")
     out = docs.select(row).join(small(marks, 80), F.col("row.doc_id") == F.col("id"), "left").where("first IS NULL OR first")
