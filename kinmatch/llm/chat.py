@@ -7,8 +7,9 @@ is exact.
 A conversation of more than ``budget`` tokens is dealt into windows. Prefix sums of the turns' tokens decide: a window
 takes turns until the next would pass the budget; it never cuts a turn (one that is longer than the budget has a window
 of its own). Each window after the first begins with the conversation's system turn, if its first turn is one, and up to
-``history_turns`` turns of at most ``history_tokens`` tokens from before the window. Repeated turns carry no loss, so
-every assistant text is a target exactly once. Tokens are counted as runs of letters, single digits and single other
+``history_turns`` turns of at most ``history_tokens`` tokens from before the window, as many as leave room for the
+window's first own turn: so only a window of one own turn, which is too long together with the system turn, passes the
+budget, and it has no history. Repeated turns carry no loss, so every assistant text is a target exactly once. Tokens are counted as runs of letters, single digits and single other
 signs, and four for a turn's marks.
 """
 
@@ -49,7 +50,8 @@ def formatted(turns: DataFrame, budget: int = BUDGET, history_turns: int = HISTO
     back, n_back = F.lit(0).cast("long"), F.lit(0)
     for k in range(1, history_turns + 1):  # the most turns that fit; p of the turn before less p of the one k further back
         tokens = F.lag("p", 1).over(order) - F.coalesce(F.lag("p", k + 1).over(order), F.lit(0))
-        fits = (F.col("i") - k >= F.col("system.n")) & (tokens <= history_tokens)
+        room = F.col("system.n") * F.col("system.tokens") + tokens + F.col("tokens") <= budget
+        fits = (F.col("i") - k >= F.col("system.n")) & (tokens <= history_tokens) & room
         back, n_back = F.when(fits, tokens).otherwise(back), F.when(fits, k).otherwise(n_back)
     t = t.withColumn("history", F.struct(n_back.alias("n"), back.alias("tokens")))
     row = F.struct("i", "role", "f", "head", "p", "c", "history", "system", F.length("f").alias("chars"))
@@ -120,7 +122,7 @@ def with_probe(turns: DataFrame) -> DataFrame:
 
 def sql(budget: int = BUDGET, history_turns: int = HISTORY_TURNS, history_tokens: int = HISTORY_TOKENS) -> str:
     """DuckDB SQL for digests(formatted(with_probe(conversations)))."""
-    cases = [f"WHEN i - {k} >= sys AND p1 - coalesce(lag(p, {k + 1}) OVER w, 0) <= {history_tokens} THEN {k}" for k in range(history_turns, 0, -1)]
+    cases = [f"WHEN i - {k} >= sys AND p1 - coalesce(lag(p, {k + 1}) OVER w, 0) <= least({history_tokens}, {budget} - sys * st - tokens) THEN {k}" for k in range(history_turns, 0, -1)]
     n_back = f"CASE {' '.join(cases)} ELSE 0 END" if cases else "0"
     return rf"""
 WITH RECURSIVE t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -1, 0, 'user', '{PROBE}' UNION ALL SELECT -1, 1, 'assistant', '{PROBE}'),

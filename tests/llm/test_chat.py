@@ -43,6 +43,17 @@ def test_windows(spark):
     assert seen == texts and targets == [t for r, t in texts if r == "assistant"]
 
 
+def test_no_window_passes_the_budget(spark):
+    """Long turns after short ones, with a system turn: history shrinks, to nothing where there is no room."""
+    sizes = [10, 90, 20, 95, 30, 40, 60, 88, 5, 5, 5, 97, 200, 50, 49]
+    texts = [("system", "a b c d e f"), *[(("user", "assistant")[i % 2], "x " * (n - 4)) for i, n in enumerate(sizes)]]
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(texts)], "conv_id long, turn long, role string, text string")
+    w = chat.formatted(df, 110, 3, 80).collect()
+    over = [x for x in w if x["n_tokens"] > 110]
+    assert [x["n_tokens"] for x in over] == [210] and over[0]["n_turns"] == 2 and over[0]["n_repeated"] == 1
+    assert {x["n_repeated"] for x in w} >= {0, 1, 2, 3}
+
+
 def test_escaping_is_reversible(spark):
     odd = ["<|im_end|>", "\\", "\\s", "\\p<|", "<", "<|", "|>", "<<||", "a\\n\nb", "<\\p", "\\\\|im_start|>", ""]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i long, t string")
