@@ -12,8 +12,9 @@ Two kinds of models fix what the best way is:
     two pieces are such a pair, exactly one way is open for each prefix, and it is the model's own segmentation.
 
 Where no piece has a space mark after another character, every path goes through the boundary before each mark that
-follows another character, and around each character that is in no longer piece, and
-between two that are side by side in no piece: those segments (words) commit on their own, and are remembered in a bounded cache.
+follows another character, and around each character that is in no longer piece, and between two that are side by side in
+no piece. A pass from one such boundary to the next depends on nothing else, so what it commits is remembered by its
+characters in a bounded cache; each stretch that isn't remembered goes through the streaming pass, whatever its length.
 """
 
 from __future__ import annotations
@@ -31,8 +32,10 @@ from kinmatch.llm.base import ship
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MODEL_SETTING = "spark.kinmatch.pieces.model"
-CACHE_WORDS, CACHE_PAIRS, SHORT, ROWS, CUT = 400_000, 500_000, 64, 500, 1 << 20
+#: Sizes of what a worker remembers: words, pairs of pieces, and the longest word that is remembered (memory only).
+CACHE_WORDS, CACHE_PAIRS, KEPT, ROWS, CUT = 400_000, 500_000, 64, 500, 1 << 20
 SPACE = "▁"
+_NONE: dict = {}
 
 
 class Pieces:
@@ -70,8 +73,6 @@ class Pieces:
             new = {y for x in new for y in beside.get(x, ())} - latin - {SPACE}
         a, s = re.escape("".join(sorted(alone - latin))), re.escape("".join(sorted(latin)))
         self.word = re.compile(f"{SPACE}*[{s}]+|{SPACE}*[^{SPACE}{a}{s}]+|{SPACE}+" + f"|[{a}]" * bool(a))
-        #: pieces, and beginnings of pieces that are none (-1): a way stops where neither goes on
-        self.table = {p[:k]: -1 for p in self.id for k in range(1, len(p))} | self.id
         self.trie: dict = {}  # by character; "" holds the id of the piece that ends there
         for p, i in self.id.items():
             node = self.trie
@@ -87,6 +88,7 @@ class Pieces:
         self.parts_before: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[int, dict[int, bool]] = {}
         self.n_pairs = 0
+        self.seen = 0  # characters that went through commits()
 
     def merged(self, s: str) -> list[str]:
         """Pieces of a short string by merging the best neighbours again and again, the first of equals."""
@@ -112,81 +114,66 @@ class Pieces:
         got = self.pairs.setdefault(a, {})[b] = self.merged(x + y) == [x, y]
         return got
 
-    def stream(self, text: str) -> Iterator[list[str]]:
-        """The text's pieces in committed groups; characters without a piece stand for themselves."""
-        ids, table, joins, score, bpe, worst, pairs = self.id, self.table, self.joins, self.score, self.bpe, self.worst, self.pairs
-        last, total, done, n = {0: ""}, {0: 0.0}, 0, len(text)  # for each position that can be reached: the best way's last piece, its score
+    def commits(self, text: str) -> Iterator[list[tuple[int, int, int]]]:
+        """The text's pieces (start, end, id; id -1 for a character without a piece) in committed groups. What is kept are
+        the ways into the positions of one window."""
+        ids, root, joins, score, bpe, worst, pairs = self.id, self.trie, self.joins, self.score, self.bpe, self.worst, self.pairs
+        self.seen += len(text)
+        longest = self.longest
+        into, total, done, n = {0: (0, -1)}, {0: 0.0}, 0, len(text)  # for each position that can be reached: the best way's last piece, its score
         for j in range(n):
-            before = last.get(j)
+            before = into.get(j)
             if before is None:
                 continue
-            a = ids.get(before)  # none at the start and after a character without a piece: everything joins
-            for i in range(j + 1, n + 1):
-                p = text[j:i]
-                at = table.get(p)
-                k = None if at == -1 else at
-                if k is not None or i == j + 1:
-                    if not bpe:
-                        s = total[j] + (score[k] if k is not None else worst)
-                        if i not in last or s > total[i]:
-                            last[i], total[i] = p, s
-                    elif i not in last:  # no second way is open
-                        ok = a is None or k is None or pairs.get(a, {}).get(k)
-                        if ok or ok is None and joins(a, k):
-                            last[i] = p
-                if at is None:
+            a = before[1]  # -1 at the start and after a character without a piece: everything joins
+            row = pairs.get(a, _NONE)
+            node, i = root, j
+            for c in text[j : j + longest]:
+                node = node.get(c)
+                if node is None:
                     break
-            if j + 1 < n and (j + 1) % self.longest == 0:
-                ends = {x for x in last if x > j}  # ways into these are all that go on
+                i += 1
+                if bpe and i in into:  # no second way is open
+                    continue
+                k = node.get("")
+                if k is None:
+                    continue
+                if bpe:
+                    if a < 0 or (row[k] if k in row else joins(a, k)):
+                        into[i] = (j, k)
+                elif i not in into or total[j] + score[k] > total[i]:
+                    into[i], total[i] = (j, k), total[j] + score[k]
+            if text[j] not in ids:
+                if bpe:
+                    into.setdefault(j + 1, (j, -1))
+                elif j + 1 not in into or total[j] + worst > total[j + 1]:
+                    into[j + 1], total[j + 1] = (j, -1), total[j] + worst
+            if (j + 1) % longest == 0 and j + 1 < n:
+                ends = {x for x in into if x > j}  # ways into these are all that go on
                 while len(ends) > 1:  # back along them to the boundary that they share
                     x = max(ends)
                     ends.remove(x)
-                    ends.add(x - len(last[x]) if x > done else done)
+                    ends.add(into[x][0] if x > done else done)
                 to = max(ends.pop(), done)
                 if to > done:
-                    yield self._path(last, done, to)
-                    for x in [x for x in last if x < to]:
-                        del last[x]
+                    yield self._path(into, done, to)
+                    for x in [x for x in into if x < to]:
+                        del into[x]
                         total.pop(x, None)
                     done = to
-        yield self._path(last, done, n)
+        yield self._path(into, done, n)
 
-    def short(self, word: str) -> tuple[int, ...]:
-        """Ids of a short text, which is one window, by a BPE model."""
-        n, root, pairs, joins = len(word), self.trie, self.pairs, self.joins
-        start, piece = [-1] * (n + 1), [-1] * (n + 1)  # of the last piece into each position; -1: a character without one
-        start[0] = 0
-        for j in range(n):
-            if start[j] < 0:
-                continue
-            a, node, i = piece[j], root, j
-            row = pairs.get(a)
-            for c in word[j:]:
-                node = node.get(c)
-                if node is None:
-                    break
-                i += 1
-                if start[i] < 0 and (k := node.get("")) is not None:
-                    if a < 0:
-                        start[i], piece[i] = j, k
-                    else:
-                        ok = row.get(k) if row is not None else None
-                        if ok or ok is None and joins(a, k):
-                            start[i], piece[i] = j, k
-            if start[j + 1] < 0 and word[j] not in self.id:
-                start[j + 1] = j
-        out: list[int] = []
-        while n > 0:
-            j = start[n]
-            out += (piece[n],) if piece[n] >= 0 else self._ids(word[j:n])[::-1]
-            n = j
-        return tuple(out[::-1])
+    def stream(self, text: str) -> Iterator[list[str]]:
+        """The text's pieces in committed groups; characters without a piece stand for themselves."""
+        for group in self.commits(text):
+            yield [text[x:y] for x, y, _ in group]
 
-    def _path(self, last: dict[int, str], start: int, end: int) -> list[str]:
+    def _path(self, into: dict[int, tuple[int, int]], start: int, end: int) -> list[tuple[int, int, int]]:
         out = []
         while end > start:
-            out.append(last[end])
-            end -= len(last[end])
+            at, k = into[end]
+            out.append((at, end, k))
+            end = at
         return out[::-1]
 
     def _ids(self, piece: str) -> tuple[int, ...]:
@@ -196,9 +183,15 @@ class Pieces:
         return tuple(self.byte[b] for b in piece.encode("utf-8", "surrogatepass")) if self.byte else (self.unk,)
 
     def segment_ids(self, s: str) -> tuple[int, ...]:
-        if self.bpe and len(s) <= SHORT:
-            return self.short(s)
-        return tuple(i for group in self.stream(s) for p in group for i in self._ids(p))
+        """Ids of a stretch that every path begins and ends at, by one streaming pass."""
+        out: list[int] = []
+        for group in self.commits(s):
+            for x, y, k in group:
+                if k >= 0:
+                    out.append(k)
+                else:
+                    out += self._ids(s[x:y])
+        return tuple(out)
 
     def _word(self, w: str) -> tuple[int, ...]:
         """Ids of a word that isn't among those of late. It is cut wherever no piece has the two characters side by side."""
@@ -210,7 +203,7 @@ class Pieces:
                     ids += self._part(w[at:k])
                     at = k
             ids += self._part(w[at:])
-        if len(w) <= SHORT:
+        if len(w) <= KEPT:
             if len(self.words) >= CACHE_WORDS // 2:
                 self.words, self.older = {}, self.words
             self.words[w] = ids
@@ -220,7 +213,7 @@ class Pieces:
         ids = self.parts.get(s)
         if ids is None:
             ids = self.parts_before.get(s) or self.segment_ids(s)
-            if len(s) <= SHORT:
+            if len(s) <= KEPT:
                 if len(self.parts) >= CACHE_WORDS // 2:
                     self.parts, self.parts_before = {}, self.parts
                 self.parts[s] = ids
@@ -313,7 +306,10 @@ def encoded(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids",
 
 
 def decoded(docs: DataFrame, ids_col: str = "piece_ids", text_col: str = "decoded", model: str | None = None) -> DataFrame:
-    """docs with a further column of the ids' texts; null ids give null."""
+    """docs with a further column of the ids' texts, in place of one of that name.
+
+    Null ids give null, no ids the empty text; long lists are decoded whole, repeated rows alike; an empty table stays
+    empty."""
     ship(docs.sparkSession, small_batches=True)
     held = _model(docs.sparkSession, model)
 

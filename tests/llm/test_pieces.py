@@ -52,6 +52,28 @@ def test_commits_are_early_and_whole_texts_agree(own, library):
         assert max(map(len, groups)) <= 4 * own.longest
 
 
+def test_every_character_goes_through_the_streaming_pass(library, monkeypatch):
+    """With nothing remembered, the pass sees each character once; with a memory, it sees each new stretch once."""
+    import pyarrow.parquet as pq
+
+    texts = [t for t in pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist() if t]
+    with open(pieces.MODEL, "rb") as f:
+        model = f.read()
+    p = pieces.Pieces(model)
+    monkeypatch.setattr(pieces, "KEPT", 0)
+    for t in texts[:60]:
+        before = p.seen
+        assert p.encode(t) == library.encode(t)
+        assert p.seen - before == len(t) + 1
+    monkeypatch.undo()
+    p = pieces.Pieces(model)
+    p.encode(texts[0])
+    first = p.seen
+    assert 0 < first <= len(texts[0]) + 1
+    p.encode(texts[0])
+    assert p.seen == first
+
+
 def test_unigram_paths_have_the_best_score(own):
     with open(pieces.MODEL, "rb") as f:
         uni = pieces.Pieces(f.read(), bpe=False)
