@@ -19,7 +19,7 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), found_col="found")
+    out = pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), key=pii.published_or_own(spark), found_col="found")
     return out.select("doc_id", F.size(F.filter("found", lambda x: x["value"].isNotNull())).cast("long").alias("n_values"), "text")
 
 
