@@ -6,9 +6,9 @@ text every word gets a language from its own form and its surroundings. Forward-
 probabilities; a text's language is the one with the largest sum of them, its score that sum's share.
 
 Learning: stochastic gradient (Adagrad) on the log likelihood of spliced sequences, made of spans of labelled documents
-in which one span in ``SWITCH`` is followed by one of another language. The spans come from a sample of ``SAMPLE_DOCS``
-documents at most, shared equally between the languages, chosen by a hash of the id, ``SPANS`` spans of ``SPAN`` words
-spread over each whole text. Everything else is done for all documents and whole texts.
+in which one span in ``SWITCH`` is followed by one of another language. The spans, of ``SPAN`` words, are all those of a
+sample of whole texts, chosen by a hash of the text: ``SAMPLE_DOCS`` texts and ``SAMPLE_WORDS`` words at most, shared
+equally between the languages. Everything else is done for all documents and whole texts.
 """
 
 from __future__ import annotations
@@ -22,12 +22,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinmatch.llm.base import crc_fold, ship
 
-SAMPLE_DOCS, SPANS, SPAN, SWITCH = 4000, 4, 20, 0.3
+SAMPLE_DOCS, SAMPLE_WORDS, SPAN, SWITCH = 4000, 400_000, 20, 0.3
 BUCKETS, LEXICON, EPOCHS, BATCH, RATE = 1 << 16, 2000, 3, 64, 0.3
 CACHE_WORDS, GROUP_WORDS = 300_000, 1_000_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -234,35 +234,46 @@ def fit(spans: list[tuple[str, list[str]]], seed: int = 7, epochs: int = EPOCHS)
     return model
 
 
-def sample_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, n_spans: int = SPANS, span: int = SPAN) -> list[tuple[str, list[str]]]:
-    """(language, words) spans of a sample of the rows with text and lang. At most about ``sample_docs`` rows take part
-    and each gives ``n_spans`` spans at most, so what comes to the driver is bounded."""
-    ship(docs.sparkSession)
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per language
+def sample_spans(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_words: int = SAMPLE_WORDS, span: int = SPAN) -> list[tuple[str, list[str]]]:
+    """(language, words) spans of the texts to learn from. A text is taken whole or not at all: one that doesn't fit into
+    its language's share of ``sample_words`` that is left is passed over (a word of over 8 letters counts as several).
+
+    Rows without text or lang don't count, and rows that repeat a text and its lang are one text. Ids play no part. Empty
+    tables give no spans."""
+    spark = docs.sparkSession
+    ship(spark)
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text", F.xxhash64("text", F.lit("sample")).alias("h"))
+    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}  # texts, one row per language
     if not sizes:
         return []
-    each = max(1, sample_docs // len(sizes))
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, each / n) * 2**31))])
-    picked = known.where(F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("sample")), F.lit(2**31)) < share[F.col("lang")])
+    each, words_each = max(1, sample_docs // len(sizes)), sample_words // len(sizes)
+    # texts by hash before the exact cut, so that the window holds few: eight times as many as are wanted
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, (8 * each + 100) / n) * 2**31))])
+    n = F.greatest(F.regexp_count("text", F.lit(r"\p{L}+")), F.ceil(F.length("text") / 8))
+    near = known.where(F.pmod("h", F.lit(2**31)) < share[F.col("lang")]).groupBy("lang", "h").agg(F.max(n).alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    left, chosen = dict.fromkeys(sizes, words_each), []
+    for r in near.withColumn("place", place).where(F.col("place") <= each).orderBy("lang", "h").collect():  # sample_docs rows of numbers
+        if r["n"] <= left[r["lang"]]:
+            left[r["lang"]] -= r["n"]
+            chosen.append((r["lang"], r["h"]))
+    if not chosen:
+        return []
 
-    @F.pandas_udf("array<array<string>>")
+    @F.pandas_udf("array<string>")
     def cut(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from kinmatch.llm.language import words_of as words
 
         for s in parts:
-            out = []
-            for t in s:
-                w = words(t)
-                starts = sorted({int(x) for x in np.linspace(0, max(0, len(w) - span), n_spans)})
-                out.append([w[a : a + span] for a in starts])
-            yield pd.Series(out)
+            yield pd.Series([words(t) for t in s])
 
-    rows = picked.select("lang", F.explode(cut("text")).alias("w")).where("size(w) > 0").collect()
-    return [(r["lang"], list(r["w"])) for r in rows]
+    wanted = F.broadcast(spark.createDataFrame(chosen, "lang string, h long"))  # sample_docs rows at most
+    rows = known.join(wanted, ["lang", "h"]).groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "h", cut("text").alias("w")).orderBy("lang", "h").collect()
+    return [(r["lang"], list(r["w"][k : k + span])) for r in rows for k in range(0, len(r["w"]), span)]
 
 
 def train(docs: DataFrame, **bounds) -> Crf:
+    """A model from docs (lang, text); cases and ``bounds`` as in sample_spans()."""
     return fit(sample_spans(docs, **bounds))
 
 

@@ -34,6 +34,17 @@ def test_held_out_rows_are_not_learned_from(spark):
     assert a.langs == b.langs and np.array_equal(a.weights, b.weights) and np.array_equal(a.moves, b.moves)
 
 
+def test_sample_is_bounded(spark):
+    """Repeated ids and texts, null ids, and a text larger than the bound: the bounds hold, and texts come whole."""
+    rows = [(1, f"one {'same'} text of ten words that comes again ok", "en")] * 2000 + [(None, f"text number {'abcdefghij'[i % 10]}{'klmnop'[i % 6]} " * 5, "fr") for i in range(300)] + [(2, "z " * 50000, "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    few = language.sample_spans(docs, sample_docs=10, sample_words=50_000)
+    assert len([x for x in few if x[0] == "en"]) == 1 and sum(len(w) for lang, w in few if lang == "fr") <= 5 * 15
+    some = language.sample_spans(docs, sample_words=400)
+    assert 150 < sum(len(w) for lang, w in some if lang == "fr") <= 200 and all(len(w) <= language.SPAN for _, w in some)
+    assert sum(len(w) for _, w in language.sample_spans(docs, sample_words=10**6)) == 10 + 30 * 15 + 50000
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     crf = language.Crf(["a", "b", "c"], np.zeros((1, 3)), {}, rng.normal(size=3), rng.normal(size=(3, 3)))
