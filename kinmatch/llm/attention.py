@@ -5,8 +5,8 @@ of character classes, forms and repetition of its words, then a learned layer);
 gives each passage a weight; the weighted sum of the passages' codes is scored. Only documents have labels; the weights
 learn by themselves which passages tell.
 
-Learning takes ``SAMPLE_DOCS`` labelled documents at most, chosen by a hash of the id, and of each ``SAMPLE_PASSAGES``
-passages at most, evenly spread; scoring takes all passages of all documents.
+Learning takes labelled documents in the order of a hash of their ids, with all their passages: ``SAMPLE_DOCS`` documents
+and ``SAMPLE_PASSAGES`` passages at most, all together. Scoring takes all passages of all documents.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from kinmatch.llm.base import crc_fold, ship, small, written
 
-PASSAGE, SAMPLE_DOCS, SAMPLE_PASSAGES = 64, 4000, 256
+PASSAGE, SAMPLE_DOCS, SAMPLE_PASSAGES = 64, 4000, 60_000
 CODE, GATE, HASHED, EPOCHS, BATCH, RATE, DECAY = 24, 12, 32, 30, 64, 0.01, 1e-4
 CUT, ROWS = 1 << 20, 500
 THRESHOLD = 0.3
@@ -165,33 +165,49 @@ def held_out(doc_id: Column) -> Column:
     return crc_fold(doc_id, 5) == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """A model from docs (doc_id, text) and labels (doc_id, quality 0 or 1). Several labels of a document are averaged;
-    null labels and ids don't count. At most about ``sample_docs`` documents take part."""
+def sample(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_passages: int = SAMPLE_PASSAGES) -> list[tuple[np.ndarray, int]]:
+    """(passages, label) of the labelled documents to learn from, in the order of a hash of their ids: ``sample_docs`` and
+    ``sample_passages`` at most. A document is taken with its whole text or not at all: one that doesn't fit into what is
+    left is passed over.
+
+    Several labels of a document are averaged; null labels and ids don't count. Rows that repeat an id are one document,
+    with the text whose hash is the least. Empty tables give an empty sample."""
     spark = docs.sparkSession
     ship(spark)
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy(F.col("doc_id").alias("__id")).agg((F.avg("quality") >= 0.5).cast("int").alias("__y"))
-    marks = written(marks, "quality-labels")
-    n = marks.count()
-    if n > sample_docs:
-        marks = marks.where(F.pmod(F.xxhash64("__id", F.lit("sample")), F.lit(2**31)) < int(sample_docs / n * 2**31))
-
-    @F.pandas_udf("array<float>")
+    marks = marks.join(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("__id")), "__id", "left_semi")
+    first = F.xxhash64("__id", F.lit("sample"))
+    picked = written(marks.orderBy(first, "__id").limit(sample_docs), "quality-sample")
+    text = F.xxhash64(F.coalesce("text", F.lit("")), F.lit("text"))
+    words = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0))
+    sized = docs.select(F.col("doc_id").alias("__id"), F.struct(text.alias("h"), F.greatest(F.lit(1), F.ceil(words / PASSAGE)).alias("n")).alias("t"))
+    rows = sized.join(small(picked, 16), "__id").groupBy("__id", "__y").agg(F.min("t").alias("t")).orderBy(first, "__id").select("__id", "t.h", "t.n").collect()
+    left, chosen = sample_passages, []
+    for r in rows:  # at most sample_docs rows of three numbers
+        if r["n"] <= left:
+            left -= r["n"]
+            chosen.append((r["__id"], r["h"]))
+    if not chosen:
+        return []
+
+    @F.pandas_udf("binary")
     def bag(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         from kinmatch.llm import attention as own
 
         for s in parts:
-            out = []
-            for t in s:
-                x = own.passages(t)
-                if len(x) > own.SAMPLE_PASSAGES:
-                    x = x[np.linspace(0, len(x) - 1, own.SAMPLE_PASSAGES).astype(int)]
-                out.append(x.ravel())
-            yield pd.Series(out)
+            yield pd.Series([own.passages(t).tobytes() for t in s])
+
+    wanted = written(spark.createDataFrame(chosen, "__id long, h long").join(picked, "__id"), "quality-chosen")
+    same = (F.col("doc_id") == F.col("__id")) & (text == F.col("h"))
+    bags = docs.select("doc_id", "text").join(small(wanted, 24), same).select("__id", "__y", bag("text").alias("x"))
+    found = bags.groupBy("__id", "__y").agg(F.min("x").alias("x")).orderBy("__id").collect()
+    return [(np.frombuffer(r["x"], np.float32).reshape(-1, N_FEATURES), r["__y"]) for r in found]
+
 
-    picked = written(marks, "quality-sample")
-    rows = docs.select("doc_id", "text").join(small(picked, 16), F.col("doc_id") == F.col("__id")).select("doc_id", "__y", bag("text").alias("x")).orderBy("doc_id").collect()
-    return fit([np.array(r["x"], dtype=np.float32).reshape(-1, N_FEATURES) for r in rows], [r["__y"] for r in rows])
+def train(docs: DataFrame, labels: DataFrame, **bounds) -> Model:
+    """A model from docs (doc_id, text) and labels (doc_id, quality 0 or 1); cases and ``bounds`` as in sample()."""
+    rows = sample(docs, labels, **bounds)
+    return fit([x for x, _ in rows], [y for _, y in rows])
 
 
 def scored(docs: DataFrame, model: Model, text_col: str = "text", out_col: str = "quality", attention: bool = False) -> DataFrame:
@@ -209,6 +225,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
         for s in parts:
             for k in range(0, len(s), own.ROWS):
                 score, weights = m.score([own.passages(t) for t in s.iloc[k : k + own.ROWS]])
+                score = np.round(score, 9)  # the last digits depend on what else is in the batch
                 out = {"score": score, "predicted": (score >= own.THRESHOLD).astype("int32")}
                 yield pd.DataFrame(out | ({"attention": weights} if attention else {}))
 

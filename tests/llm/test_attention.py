@@ -69,6 +69,49 @@ def test_long_texts_are_cut_alike(monkeypatch):
     assert np.array_equal(attention.passages(text), want) and len(want) == -(-2500 // 64)
 
 
+def plain_scores(bags, model):
+    """The scores one passage at a time, by the formulas alone."""
+    p, out = model.p, []
+    for bag in bags:
+        codes, weights = [], []
+        for x in bag:
+            h = np.tanh(np.clip((x - model.mean) / model.scale, -6, 6) @ p["w"] + p["b"])
+            codes.append(h)
+            weights.append(np.exp(np.dot(np.tanh(h @ p["v"]) / (1 + np.exp(-(h @ p["u"]))), p["a"])))
+        z = sum(w * h for w, h in zip(weights, codes, strict=True)) / sum(weights)
+        out.append(1 / (1 + np.exp(-(z @ p["c"] + p["c0"][0]))))
+    return out
+
+
+def test_query_equals_brute_force(spark):
+    """The registered query's rows from the documents it may learn from, encoded and scored one by one without Spark."""
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    text, quality = {r["doc_id"]: r["text"] for r in docs.collect()}, {}
+    for r in labels.collect():
+        quality.setdefault(r["doc_id"], []).append(r["quality"])
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in text}
+    learn = sorted(i for i in quality if i in text and not held[i])
+    assert len(learn) <= attention.SAMPLE_DOCS and sum(len(attention.passages(text[i])) for i in learn) <= attention.SAMPLE_PASSAGES
+    model = attention.fit([attention.passages(text[i]) for i in learn], [int(np.mean(quality[i]) >= 0.5) for i in learn])
+    ids = sorted(text)
+    want = dict(zip(ids, plain_scores([attention.passages(text[i]) for i in ids], model), strict=True))
+    for r in registry.op9_attention(spark, sf).collect():
+        assert r["score"] == pytest.approx(want[r["doc_id"]], abs=1e-6) and r["held_out"] == held[r["doc_id"]]
+
+
+def test_sample_is_bounded(spark):
+    """Repeated ids, null ids, many labels and a text larger than the bound: the bounds hold, and texts come whole."""
+    rows = [(i % 50, f"w{i % 50} " * (10 + 64 * (i % 50 % 4))) for i in range(4000)] + [(None, "x")] * 30 + [(60, "y " * 100000)] * 3 + [(7, "another text")] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i % 61, i % 2) for i in range(3000)] + [(None, 1)] * 20, "doc_id long, quality int")
+    assert len(attention.sample(docs, labels, sample_docs=1)) == 1
+    some = attention.sample(docs, labels, sample_docs=30, sample_passages=40)
+    assert len(some) <= 30 and 30 < sum(len(x) for x, _ in some) <= 40
+    every = attention.sample(docs, labels)
+    assert len(every) == 51 and max(len(x) for x, _ in every) == -(-100000 // 64)
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (None, " \n"), (3, "word " * 300000 + "z" * 100000), (3, "word " * 300000 + "z" * 100000), (4, "ok")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("quality", F.lit("x")).withColumn("score", F.lit(1)).withColumn("__y", F.lit(0))
