@@ -8,7 +8,9 @@ junk, which has high rates, doesn't move) and at least the rate's resolution.
 
 The sketch is a log-linear histogram over whole numbers (relative error 1/16): two sketches merge by adding counts, so
 it is an ordinary partial aggregate whatever share of the rows a source holds, and its size is bounded by the number
-of buckets. Groups under ``MIN_GROUP`` documents use the merged sketch of their language, and then that of all documents.
+of buckets. Small groups lean on larger ones without a switch: a language's sketch is merged with that of all documents,
+scaled to ``PRIOR`` documents, and a group's with its language's, scaled alike. So each further document moves a group's
+quantiles from its language's towards its own.
 """
 
 from __future__ import annotations
@@ -29,11 +31,11 @@ RATES = {
     "capital_rate": ("n_capitals", "word_chars", 1000, 20, False),
     "shout_rate": ("n_shouts", "word_chars", 1000, 10, False),
     "dup_line_rate": ("n_dup_lines", "n_lines", 1000, 100, False),
-    "repeat_rate": ("n_repeat_words", "n_words", 1000, 100, False),
+    "repeat_rate": ("n_repeat_words", "n_words", 1000, 70, False),
     "word_length": ("word_chars", "n_words", 100, 40, True),
 }
 REACH = 5
-MIN_GROUP = 200
+PRIOR = 200
 MIN_WORDS = 50
 
 
@@ -106,36 +108,35 @@ def sketches(measured: DataFrame) -> DataFrame:
     return rows.groupBy("lang_key", "source_key", "rate", "bucket").agg(F.count(F.lit(1)).alias("n"))
 
 
-def fences(sketch: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> DataFrame:
-    """For each (lang_key, source_key) the highest and lowest rate that is kept: ``<rate>_most``, ``<rate>_least``."""
-    levels = None
-    for level, keys in enumerate((["lang_key", "source_key"], ["lang_key"], [])):
-        merged = sketch.groupBy(*keys, "rate", "bucket").agg(F.sum("n").alias("n"))
-        for k in {"lang_key", "source_key"} - set(keys):
-            merged = merged.withColumn(k, F.lit("*"))
-        merged = merged.select(F.lit(level).alias("level"), "lang_key", "source_key", "rate", "bucket", "n")
-        levels = merged if levels is None else levels.unionByName(merged)
-    group = Window.partitionBy("level", "lang_key", "source_key", "rate")
-    run = levels.withColumn("total", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
+def _whole(x: Column) -> Column:
+    return F.coalesce(x, F.lit(0)).cast("decimal(38,0)")
+
+
+def fences(sketch: DataFrame, reach: int = REACH, prior: int = PRIOR) -> DataFrame:
+    """For each (lang_key, source_key) the highest and lowest rate that is kept: ``<rate>_most``, ``<rate>_least``. Counts
+    are multiplied by the totals they would be divided by, so that they stay whole numbers."""
+    own, cell = ["lang_key", "source_key"], ["rate", "bucket"]
+    n = F.sum("n").alias("n")
+    every = sketch.groupBy(*cell).agg(F.sum("n").alias("a"))
+    every = every.join(F.broadcast(sketch.groupBy("rate").agg(F.sum("n").alias("a_all"))), "rate")  # one row for each rate
+    lang = sketch.groupBy("lang_key", *cell).agg(F.sum("n").alias("l"))
+    lang_all = sketch.groupBy("lang_key", "rate").agg(F.sum("n").alias("l_all"))
+    groups = sketch.groupBy(*own, "rate").agg(n.alias("g_all"))
+    grid = groups.join(F.broadcast(every), "rate")  # as many rows as a sketch has buckets
+    grid = grid.join(lang_all, ["lang_key", "rate"]).join(lang, ["lang_key", *cell], "left").join(sketch.withColumnRenamed("n", "g"), [*own, *cell], "left")
+    of_lang = _whole(F.col("l")) * _whole(F.col("a_all")) + prior * _whole(F.col("a"))
+    lang_total = (_whole(F.col("l_all")) + prior) * _whole(F.col("a_all"))
+    merged = grid.select(*own, *cell, ((_whole(F.col("g")) * lang_total).cast("decimal(38,0)") + (prior * of_lang).cast("decimal(38,0)")).cast("decimal(38,0)").alias("n"))
+    group = Window.partitionBy(*own, "rate")
+    run = merged.withColumn("total", F.sum("n").over(group)).withColumn("upto", F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
     low = bucket_low(F.col("bucket"))
-    q = run.groupBy("level", "lang_key", "source_key", "rate").agg(
-        F.max("total").alias("total"), F.min(F.when(F.col("upto") * 10 >= F.col("total"), low)).alias("q10"), F.min(F.when(F.col("upto") * 2 >= F.col("total"), low)).alias("q50")
-    )
+    q = run.groupBy(*own, "rate").agg(F.min(F.when(F.col("upto") * 10 >= F.col("total"), low)).alias("q10"), F.min(F.when(F.col("upto") * 2 >= F.col("total"), low)).alias("q50"))
     resolution = F.create_map(*[F.lit(x) for r, v in RATES.items() for x in (r, v[3])])
     width = reach * F.greatest(F.col("q50") - F.col("q10"), resolution[F.col("rate")])
-    wide = q.groupBy("level", "lang_key", "source_key").agg(
-        F.max("total").alias("total"),
+    return q.groupBy(*own).agg(
         *[F.max(F.when(F.col("rate") == r, F.col("q50") + width)).alias(f"{r}_most") for r in RATES],
         *[F.max(F.when(F.col("rate") == r, F.col("q50") - width)).alias(f"{r}_least") for r, v in RATES.items() if v[4]],
     )
-    wide = written(wide, "fences")
-    names = [c for c in wide.columns if c.endswith(("_most", "_least"))]
-    own, lang, everything = (wide.where(F.col("level") == k).select("lang_key", "source_key", F.struct("total", *names).alias(f"f{k}")) for k in range(3))
-    one = everything.first()  # one row of numbers; none where no document passes the base rules
-    overall = F.struct(*[F.lit(one["f2"][n] if one else None).cast("long").alias(n) for n in ("total", *names)])
-    out = own.join(lang.drop("source_key"), "lang_key")
-    best = F.when(F.col("f0.total") >= min_group, F.col("f0")).when(F.col("f1.total") >= min_group, F.col("f1")).otherwise(overall)
-    return out.select("lang_key", "source_key", best.alias("f")).select("lang_key", "source_key", *[F.col(f"f.{n}").alias(n) for n in names])
 
 
 def inside() -> Column:
@@ -153,7 +154,7 @@ def _measured(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "lang_key", "source_key", "c.*")
 
 
-def judged(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> DataFrame:
+def judged(docs: DataFrame, reach: int = REACH, prior: int = PRIOR) -> DataFrame:
     """One row per row of docs: doc_id, COUNTS, ``base_failed`` and ``kept``.
 
     Null and empty texts have zero counts and fail the base rules. Null languages and sources are groups of their own.
@@ -162,18 +163,18 @@ def judged(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> D
     """
     ship(docs.sparkSession, small_batches=True)
     m = written(_measured(docs), "quality-counts")
-    limits = written(fences(sketches(m), reach, min_group), "quality-limits")
+    limits = written(fences(written(sketches(m), "quality-sketches"), reach, prior), "quality-limits")
     out = m.join(small(limits, 300), ["lang_key", "source_key"], "left")
     failed = base_failed(F.col("n_words"), F.col("n_repeat_words"))
     return out.select("doc_id", *COUNTS, failed.alias("base_failed"), (~failed & inside()).alias("kept"))
 
 
-def filtered(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) -> DataFrame:
+def filtered(docs: DataFrame, reach: int = REACH, prior: int = PRIOR) -> DataFrame:
     """The rows of docs that are kept, with all their columns. Counts are taken a second time rather than shuffling texts
     to their verdicts."""
     ship(docs.sparkSession, small_batches=True)
     m = written(_measured(docs).drop("doc_id"), "quality-counts")
-    limits = written(fences(sketches(m), reach, min_group), "quality-limits")
+    limits = written(fences(written(sketches(m), "quality-sketches"), reach, prior), "quality-limits")
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row")
     own = docs.select(row, group_key("lang").alias("lang_key"), group_key("source").alias("source_key"), counts_column(F.col("text")).alias("c"))
     own = own.select("__row", "lang_key", "source_key", "c.*").where(~base_failed(F.col("n_words"), F.col("n_repeat_words")))
@@ -181,14 +182,12 @@ def filtered(docs: DataFrame, reach: int = REACH, min_group: int = MIN_GROUP) ->
     return out.select("__row.*")
 
 
-def sql(reach: int = REACH, min_group: int = MIN_GROUP) -> str:
+def sql(reach: int = REACH, prior: int = PRIOR) -> str:
     """DuckDB SQL for judged() over the table documents."""
     sep = r"[\x20\x09-\x0D]+"
     rates = {r: f"CASE WHEN {b} > 0 THEN {s} * {t} // {b} ELSE 0 END" for r, (t, b, s, _, _) in RATES.items()}
     long = " UNION ALL ".join(f"SELECT lk, sk, '{r}' AS rate, {e} AS x FROM passed" for r, e in rates.items())
     wide = ", ".join(f"max(CASE WHEN rate = '{r}' THEN q50 + {reach} * greatest(q50 - q10, {v[3]}) END) AS {r}_most, max(CASE WHEN rate = '{r}' THEN q50 - {reach} * greatest(q50 - q10, {v[3]}) END) AS {r}_least" for r, v in RATES.items())
-    names = [f"{r}_{e}" for r in RATES for e in ("most", "least")]
-    pick = ", ".join(f"CASE WHEN a.total >= {min_group} THEN a.{n} WHEN b.total >= {min_group} THEN b.{n} ELSE c.{n} END AS {n}" for n in names)
     ok = " AND ".join(f"({rates[r]}) <= {r}_most" + f" AND ({rates[r]}) >= {r}_least" * v[4] for r, v in RATES.items())
     failed = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > 50 * n_words)"
     return rf"""
@@ -206,10 +205,12 @@ passed AS (SELECT * FROM m WHERE NOT {failed}),
 xs AS ({long}),
 bs AS (SELECT lk, sk, rate, greatest(0, length(bin(x)) - 5) AS s, x FROM xs),
 b AS (SELECT lk, sk, rate, 16 * s + (x >> s) AS bucket, min((x >> s) << s) AS low, count(*) AS n FROM bs GROUP BY ALL),
-lv AS (SELECT 0 AS level, lk, sk, rate, bucket, low, sum(n) AS n FROM b GROUP BY ALL UNION ALL SELECT 1, lk, '*', rate, bucket, low, sum(n) FROM b GROUP BY ALL UNION ALL SELECT 2, '*', '*', rate, bucket, low, sum(n) FROM b GROUP BY ALL),
-run AS (SELECT *, sum(n) OVER (PARTITION BY level, lk, sk, rate) AS total, sum(n) OVER (PARTITION BY level, lk, sk, rate ORDER BY bucket) AS upto FROM lv),
-q AS (SELECT level, lk, sk, rate, max(total) AS total, min(CASE WHEN upto * 10 >= total THEN low END) AS q10, min(CASE WHEN upto * 2 >= total THEN low END) AS q50 FROM run GROUP BY ALL),
-f AS (SELECT level, lk, sk, max(total) AS total, {wide} FROM q GROUP BY ALL),
-lim AS (SELECT a.lk, a.sk, {pick} FROM f a JOIN f b ON b.level = 1 AND b.lk = a.lk JOIN f c ON c.level = 2 WHERE a.level = 0)
+va AS (SELECT rate, bucket, any_value(low) AS low, sum(n)::HUGEINT AS a FROM b GROUP BY rate, bucket), vt AS (SELECT rate, sum(n)::HUGEINT AS a_all FROM b GROUP BY rate),
+la AS (SELECT lk, rate, bucket, sum(n)::HUGEINT AS l FROM b GROUP BY ALL), lt AS (SELECT lk, rate, sum(n)::HUGEINT AS l_all FROM b GROUP BY ALL),
+gr AS (SELECT DISTINCT lk, sk, rate FROM b),
+mg AS (SELECT lk, sk, rate, bucket, va.low, coalesce(b.n, 0)::HUGEINT * (l_all + {prior}) * a_all + {prior} * (coalesce(l, 0) * a_all + {prior} * a) AS n FROM gr JOIN va USING (rate) JOIN vt USING (rate) JOIN lt USING (lk, rate) LEFT JOIN la USING (lk, rate, bucket) LEFT JOIN b USING (lk, sk, rate, bucket)),
+run AS (SELECT *, sum(n) OVER (PARTITION BY lk, sk, rate) AS total, sum(n) OVER (PARTITION BY lk, sk, rate ORDER BY bucket) AS upto FROM mg),
+q AS (SELECT lk, sk, rate, min(CASE WHEN upto * 10 >= total THEN low END) AS q10, min(CASE WHEN upto * 2 >= total THEN low END) AS q50 FROM run GROUP BY ALL),
+lim AS (SELECT lk, sk, {wide} FROM q GROUP BY ALL)
 SELECT doc_id, {", ".join(COUNTS)}, {failed} AS base_failed, NOT {failed} AND coalesce({ok}, true) AS kept
 FROM m LEFT JOIN lim USING (lk, sk)"""

@@ -50,6 +50,31 @@ def test_thresholds_follow_the_group(spark):
     assert all(kept[i] for i in range(1200))
 
 
+def test_one_document_more_changes_little(spark):
+    """The limits of a source move with its size by small steps, from its language's to its own."""
+    rng = random.Random(4)
+    word = lambda: f"word{rng.randrange(10**6)}"
+    prose = [(i, " ".join(word() for _ in range(100)), "en", "prose") for i in range(1000)]
+    code = [(5000 + i, " ".join(word() + "#" * (k < 60) for k in range(100)), "en", "code") for i in range(420)]
+    most = []
+    for n in (0, 50, 100, 150, 199, 200, 201, 250, 300, 350, 420):
+        docs = spark.createDataFrame(prose + code[: max(n, 1)], "doc_id long, text string, lang string, source string")
+        f = quality.fences(quality.sketches(quality._measured(docs))).where("source_key = '=code'").first()
+        most.append(f["symbol_rate_most"])
+    assert most[4] == most[5] == most[6], "no switch at a size"
+    assert most == sorted(most) and most[0] == 50 and most[-1] >= 300
+
+
+def test_repeats_out_of_the_group_are_rejected(spark):
+    rng = random.Random(5)
+    word = lambda: f"word{rng.randrange(10**6)}"
+    rows = [(i, " ".join(word() for _ in range(200)), "en", "a") for i in range(300)]
+    rows += [(900 + i, " ".join([*(word() for _ in range(200 - n)), *["one", "two", "three"] * (n // 3 + 1)][:200]), "en", "a") for i, n in enumerate((30, 60, 78, 90, 96))]
+    got = {r["doc_id"]: (r["n_repeat_words"], r["base_failed"], r["kept"]) for r in quality.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert [got[900 + i][2] for i in range(5)] == [True, True, False, False, False]
+    assert not any(got[900 + i][1] for i in range(5)) and all(got[i][2] for i in range(300))
+
+
 def test_odd_rows(spark):
     fine = " ".join(f"w{i}" for i in range(60))
     rows = [(1, None, "en", "a"), (2, "", None, None), (None, fine, None, None), (3, fine, "en", "a"), (3, fine, "en", "a"), (4, "x " * 300000, "en", None)]
