@@ -8,6 +8,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,15 +39,36 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: cuts lineage, survives lost executors, and is computed once."""
     spark = df.sparkSession
     path = new_path(spark, name)
+    for paths in _open:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_open: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that written() has made inside of it."""
+    paths: list[str] = []
+    _open.append(paths)
+    try:
+        yield
+    finally:
+        _open.remove(paths)
+        for p in paths:
+            _delete(spark, p)
+
+
 def cleared(spark: SparkSession) -> None:
     """Deletes what the operators have written to the shared folder, through Hadoop's file system layer. Only for when no
     result of theirs is still to be read."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/kinmatch")
+    _delete(spark, f"{shared_dir(spark)}/kinmatch")
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 

@@ -67,41 +67,6 @@ def fingerprint_column(text: Column, size: int = 4) -> Column:
     return of(text)
 
 
-_MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
-
-
-def wide_fingerprint(text: str | None, size: int, words: int) -> list[int]:
-    """SimHash of ``words`` x 64 bits, as signed numbers: each shingle's hash is stretched by a mixing function."""
-    w = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
-    if not w:
-        return [0] * words
-    counts, n, digest = np.zeros((words, 64), np.int64), max(1, len(w) - size + 1), xxhash.xxh64_intdigest
-    for at in range(0, n, CHUNK):
-        part = w[at : at + CHUNK + size - 1] if len(w) >= size else w
-        h = [digest(b" ".join(x), 42) for x in zip(*(part[k:] for k in range(size)), strict=False)] if len(w) >= size else [digest(b" ".join(w), 42)]
-        base = np.array(h, dtype=np.uint64)
-        for k in range(words):
-            x = base + np.uint64(k * int(_MIX[0]) % (1 << 64)) if k else base
-            if k:
-                x = (x ^ (x >> np.uint64(30))) * _MIX[1]
-                x = (x ^ (x >> np.uint64(27))) * _MIX[2]
-                x = x ^ (x >> np.uint64(31))
-            bits = np.unpackbits(x.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            counts[k] += bits.sum(axis=0, dtype=np.int64)
-    return np.packbits(counts * 2 > n, axis=1, bitorder="little").reshape(-1).view("<i8").tolist()
-
-
-def wide_fingerprint_column(text: Column, size: int, words: int) -> Column:
-    @F.pandas_udf("array<long>")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from kinmatch.llm.simhash import wide_fingerprint as one
-
-        for s in parts:
-            yield pd.Series([one(t, size, words) for t in s])
-
-    return of(text)
-
-
 def as_hex(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
@@ -207,58 +172,6 @@ def links(nodes: DataFrame, max_bits: int = 4, max_list: int = MAX_LIST) -> Data
     return out.distinct()
 
 
-def wide_forest(members: np.ndarray, least: int, max_bits: int) -> list[tuple[int, int]]:
-    """As forest(), for rows of a node number and the words of its fingerprint (int64): members that agree in ``least``
-    bytes of some word and differ in ``max_bits`` bits of all words at most."""
-    left, links, queue = members, [], []
-    while len(left) or queue:
-        if not queue:
-            queue, left = [left[0]], left[1:]
-        at = queue.pop()
-        if not len(left):
-            continue
-        differ = left[:, 1:] ^ at[1:]
-        shared = (differ.view(np.uint8).reshape(len(left), -1, 8) == 0).sum(axis=2).max(axis=1)
-        near = (shared >= least) & (np.bitwise_count(differ.view(np.uint64)).sum(axis=1) <= max_bits)  # of signed numbers it counts the absolute value's
-        if near.any():
-            links += [(int(at[0]), int(x)) for x in left[near, 0]]
-            queue += list(left[near])
-            left = left[~near]
-    return links
-
-
-def wide_links(nodes: DataFrame, words: int, max_bits: int, max_list: int = MAX_LIST) -> DataFrame:
-    """Links (a, b) among nodes (``node`` long, ``fp`` array of ``words`` longs), in a spanning forest for each list.
-
-    Each word has an index of its own, by the byte triples. Lists over ``max_list`` members are dealt into parts of half
-    that size by hash and worked off two parts at a time, so every pair meets and no task holds more."""
-    masks = [_signed(_byte_mask(t)) for t in position_sets()]
-    keys = [F.struct(F.lit(w * len(masks) + i).alias("list"), F.get("fp", F.lit(w)).bitwiseAND(F.lit(m)).alias("key")) for w in range(words) for i, m in enumerate(masks)]
-    postings = nodes.select(F.concat(F.array("node"), "fp").alias("m"), F.explode(F.array(*keys)).alias("k")).select("m", "k.list", "k.key")
-    sizes = written(postings.groupBy("list", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "simhash-lists")
-    shared = postings.join(small(sizes, 80), ["list", "key"])
-
-    @F.pandas_udf("array<struct<a:long,b:long>>")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        from kinmatch.llm.simhash import wide_forest as one
-
-        for s in parts:
-            out = []
-            for x in s:
-                m = np.array([list(r) for r in x], dtype=np.int64)
-                out.append([{"a": a, "b": b} for a, b in one(m[np.argsort(m[:, 0])], 4, max_bits)])
-            yield pd.Series(out)
-
-    lists = shared.where(F.col("n") <= max_list).groupBy("list", "key").agg(F.collect_list("m").alias("ms"))
-    n_parts = F.ceil(F.col("n") / (max_list // 2)).cast("int")
-    part = F.pmod(F.hash("m"), n_parts)
-    other = F.transform(F.sequence(F.lit(0), n_parts - 1), lambda j: F.struct(F.least(part, j).alias("i"), F.greatest(part, j).alias("j")))
-    long = shared.where(F.col("n") > max_list).select("list", "key", "m", F.explode(other).alias("p"))
-    halves = long.groupBy("list", "key", "p").agg(F.collect_list("m").alias("ms"))
-    found = lists.select("ms").unionByName(halves.select("ms"))
-    return found.select(F.explode(of("ms")).alias("l")).select("l.a", "l.b").distinct()
-
-
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for each node with a link. Alternating large and small stars; every
     round is a table in the shared folder, so a lost executor costs one round at most."""
@@ -299,29 +212,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return base.join(of, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def wide_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 2, words: int = 4, max_bits: int = 28, max_list: int = MAX_LIST) -> DataFrame:
-    """near_duplicates() by fingerprints of several words of 64 bits: id, ``fp`` (array of long) and ``component_id``.
-
-    Two fingerprints link if some word agrees in four bytes (the minimum of the tally) and all words together differ in
-    ``max_bits`` bits at most. Two-word shingles keep a changed word's effect small enough for byte matches: texts whose
-    five-word shingles have a Jaccard similarity of 0.8 differ in some 25 of 256 bits, and nineteen in twenty such pairs
-    have a word with four equal bytes. Cases as in near_duplicates()."""
-    ship(docs.sparkSession, small_batches=True)
-    base = written(docs.select(F.col(id_col).alias("id"), wide_fingerprint_column(F.col(text_col), size, words).alias("fp")).withColumn("node", F.xxhash64("fp")), "fingerprints")
-    nodes = base.groupBy("node", "fp").agg(F.min("id").alias("least"))
-    roots = components(wide_links(nodes.select("node", "fp"), words, max_bits, max_list))
-    linked = written(nodes.join(roots, "node").select("node", "root", "least"), "linked")
-    lowest = linked.groupBy("root").agg(F.min("least").alias("lowest"))
-    of = written(nodes.select("node", "least").join(linked.join(lowest, "root").select("node", "lowest"), "node", "left").select("node", F.coalesce("lowest", "least").alias("component_id")), "components")
-    return base.join(of, "node").select(F.col("id").alias(id_col), "fp", "component_id")
-
-
-def first_of_groups(docs: DataFrame, wide: bool = False, **settings) -> DataFrame:
-    """docs with one document of each group of near duplicates (``wide``: by wide_near_duplicates): the one with the
-    smallest id.
+def first_of_groups(docs: DataFrame, **settings) -> DataFrame:
+    """docs with one document of each group of near duplicates: the one with the smallest id.
 
     All columns stay as they are. Rows that repeat an id are one document: one of them stays. Rows with a null id stay."""
-    return first_of(docs, (wide_near_duplicates if wide else near_duplicates)(docs, **settings))
+    return first_of(docs, near_duplicates(docs, **settings))
 
 
 def first_of(docs: DataFrame, groups: DataFrame) -> DataFrame:

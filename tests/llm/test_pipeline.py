@@ -4,24 +4,22 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinmatch.llm import decontaminate, pieces, pii, quality, simhash
+from kinmatch.llm import base, decontaminate, pieces, pii, quality
 from tests.llm.helpers import rows_of
-from tests.llm.test_simhash import plain_wide_components
+from tests.llm.test_jaccard import plain_components
 
 SF = "/root/testdata/sf0.01"
 
 
 def plain_run(sf_dir):
-    """The pipeline by plain means: SQL for rules, decontamination and pseudonyms, all pairs of fingerprints, the library's encoder."""
+    """The pipeline by plain means: SQL for rules, decontamination and pseudonyms, all pairs by similarity, the library's encoder."""
     con = duckdb.connect()
     con.execute(f"CREATE TABLE all_docs AS SELECT * FROM '{sf_dir}/documents.parquet'")
     con.execute(f"CREATE TABLE benchmark AS SELECT * FROM '{sf_dir}/benchmark.parquet'")
     con.execute("CREATE VIEW documents AS SELECT * FROM all_docs")
     kept = {r[0] for r in con.sql(f"SELECT doc_id FROM ({quality.sql()}) WHERE kept").fetchall()}
     docs = {r[0]: r for r in con.sql("SELECT doc_id, text, lang, source FROM documents").fetchall() if r[0] in kept}
-    ids = sorted(docs)
-    root = plain_wide_components(ids, [simhash.wide_fingerprint(docs[i][1], 2, 4) for i in ids])
-    ids = [i for i, r in zip(ids, root, strict=True) if i == r]
+    ids = [i for i, r in plain_components({i: d[1] for i, d in docs.items()}).items() if i == r]
     con.execute("CREATE TABLE left_docs AS SELECT * FROM all_docs WHERE list_contains(?, doc_id)", [ids])
     con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM left_docs")
     bad = {r[0] for r in con.sql(f"SELECT DISTINCT doc_id FROM ({decontaminate.sql()})").fetchall()}
@@ -37,6 +35,15 @@ def test_run_equals_brute_force(spark):
     assert 300 < len(want) < 900
 
 
+def test_only_the_result_stays_in_the_shared_folder(spark):
+    import glob
+
+    before = set(glob.glob(f"{base.shared_dir(spark)}/kinmatch/*"))
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    new = set(glob.glob(f"{base.shared_dir(spark)}/kinmatch/*")) - before
+    assert len(new) == 1 and "pipeline-result" in new.pop() and out.count() > 0
+
+
 @pytest.fixture(scope="module")
 def odd(spark):
     fine = " ".join(f"word{i} number{i}" for i in range(60))

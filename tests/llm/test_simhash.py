@@ -77,59 +77,3 @@ def test_odd_rows(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "7", "9", "None"]
     assert simhash.near_duplicates(docs.limit(0)).collect() == []
     assert simhash.first_of_groups(docs.limit(0)).collect() == []
-
-
-def plain_wide_components(ids, fps, max_bits=28):
-    """All pairs: some word with four equal bytes, and at most max_bits differing bits."""
-    a = np.array(fps, dtype=np.int64).reshape(len(fps), -1)
-    root = list(range(len(ids)))
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in range(len(a)):
-        d = a[i + 1 :] ^ a[i]
-        near = (np.bitwise_count(d.view(np.uint64)).sum(axis=1) <= max_bits) & ((d.view(np.uint8).reshape(len(d), a.shape[1], 8) == 0).sum(axis=2).max(axis=1, initial=0) >= 4)
-        for j in np.flatnonzero(near) + i + 1:
-            root[find(int(j))] = find(i)
-    least = {}
-    for i, x in enumerate(ids):
-        least[find(i)] = min(x, least.get(find(i), x))
-    return [least[find(i)] for i in range(len(ids))]
-
-
-@pytest.mark.parametrize("max_list", [16, 4096])
-def test_wide_fingerprints_equal_brute_force(spark, max_list):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
-    got = {r["doc_id"]: (r["fp"], r["component_id"]) for r in simhash.wide_near_duplicates(docs, max_list=max_list).collect()}
-    ids = sorted(got)
-    assert [got[i][1] for i in ids] == plain_wide_components(ids, [got[i][0] for i in ids])
-    text = {r["doc_id"]: r["text"] for r in docs.collect()}
-    assert all(got[i][0] == simhash.wide_fingerprint(text[i], 2, 4) for i in ids)
-
-
-def test_wide_fingerprints_find_copies_at_eight_tenths():
-    """Texts with five of 300 words changed (a similarity of 0.84) link, texts with a third changed don't."""
-    rng = np.random.default_rng(4)
-    word = lambda: "".join(rng.choice(list("abcdefghijklmnop"), 5))
-    hits = {5: 0, 100: 0}
-    for _ in range(60):
-        w = [word() for _ in range(300)]
-        a = np.array(simhash.wide_fingerprint(" ".join(w), 2, 4), dtype=np.int64)
-        for changed in hits:
-            at = set(np.linspace(3, 297, changed).astype(int).tolist())
-            v = [word() if k in at else x for k, x in enumerate(w)]
-            d = np.array(simhash.wide_fingerprint(" ".join(v), 2, 4), dtype=np.int64) ^ a
-            hits[changed] += bool(np.bitwise_count(d.view(np.uint64)).sum() <= 28 and (d.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1).max() >= 4)
-    assert hits[5] >= 48 and hits[100] == 0
-
-
-def test_wide_odd_rows(spark):
-    rows = [(3, None), (1, ""), (None, "one two"), (7, "One TWO"), (9, "x y " * 70000), (9, "x y " * 70000), (4, "solo")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("fp", F.lit("mine")).withColumn("node", F.lit(1))
-    got = sorted((str(r["doc_id"]), r["component_id"]) for r in simhash.wide_near_duplicates(docs).collect())
-    assert got == sorted([("1", 1), ("3", 1), ("None", 7), ("7", 7), ("9", 9), ("9", 9), ("4", 4)])
-    assert sorted(str(r["doc_id"]) for r in simhash.first_of_groups(docs, wide=True).collect()) == ["1", "4", "7", "9", "None"]
-    assert simhash.wide_near_duplicates(docs.limit(0)).collect() == []
