@@ -10,10 +10,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from kinmatch.sources.shared import ship
+
 
 def lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence, a machine word of positions at a time."""
@@ -130,8 +132,14 @@ def _kernels(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=list(KERNELS), dtype="float64")
 
 
+def _here() -> None:
+    """The executors must find this module: the functions above are known to them by name."""
+    ship(SparkSession.active())
+
+
 def kernels(name1: Column, name2: Column, addr1: Column, addr2: Column) -> Column:
     """All kernels of a pair in one trip to Python, 0 where a side is empty."""
+    _here()
     return _kernels(*[F.coalesce(x, F.lit("")) for x in (name1, name2, addr1, addr2)])
 
 
@@ -143,6 +151,7 @@ def _token_sort(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Ser
 
 def token_sort(a: Column, b: Column) -> Column:
     """token_sort_ratio, 0 to 100, 0 where a side is empty."""
+    _here()
     return _token_sort(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))
 
 
@@ -155,6 +164,7 @@ def _rule_ratios(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFram
 
 def rule_ratios(name1: Column, name2: Column, addr1: Column, addr2: Column) -> Column:
     """(n, a): name and address similarity as the rule scorers take them, 0 to 100."""
+    _here()
     return _rule_ratios(*[F.coalesce(x, F.lit("")) for x in (name1, name2, addr1, addr2)])
 
 
@@ -165,4 +175,5 @@ def _jw(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
 
 
 def jaro_winkler_column(a: Column, b: Column) -> Column:
+    _here()
     return _jw(F.coalesce(a, F.lit("")), F.coalesce(b, F.lit("")))

@@ -1,21 +1,20 @@
 """Normalisation of names and addresses and the tokens drawn from them, as column expressions.
 
 Empty text stands for a missing value throughout: nulls become empty at the edge. Latin letters with marks are folded by
-``translate`` inside the JVM; only texts that still hold other scripts go to Python (``romanised``), and only where asked.
+``translate`` inside the JVM; only texts that still hold other scripts go to Python (``scripts.romanised``).
 """
 
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from kinmatch.functions import constants as c
+from kinmatch.functions.scripts import romanised
 
 _MARKED = [(ch, base) for ch in map(chr, range(0xC0, 0x250)) if (base := unicodedata.normalize("NFKD", ch)[0]) != ch and base.isascii()]
 FOLD_FROM, FOLD_TO = "".join(a for a, _ in _MARKED), "".join(b for _, b in _MARKED)
@@ -32,46 +31,18 @@ def folded(x: Column) -> Column:
     return reduce(lambda acc, p: F.replace(acc, F.lit(p[0]), F.lit(p[1])), FOLD_PAIRS.items(), F.translate(x, FOLD_FROM, FOLD_TO))
 
 
-def romanise(text: str) -> str:
-    """Any script in ASCII: compatibility forms without marks, other letters by the last word of their Unicode name."""
-    out = []
-    for ch in unicodedata.normalize("NFKD", text):
-        if ch.isascii():
-            out.append(ch)
-        elif unicodedata.category(ch) in ("Mn", "Me", "Cf"):
-            name = unicodedata.name(ch, "")
-            if "VOWEL SIGN" in name:
-                out.append(name.rsplit(" ", 1)[-1].lower())
-        elif ch.isdigit():
-            out.append(str(unicodedata.digit(ch)))
-        elif ch.isalpha():
-            name = unicodedata.name(ch, "")
-            out.append(name.rsplit(" ", 1)[-1].lower() if "LETTER" in name or "VOWEL" in name else "")
-        elif unicodedata.category(ch) == "Mc" and "VOWEL SIGN" in unicodedata.name(ch, ""):
-            out.append(unicodedata.name(ch).rsplit(" ", 1)[-1].lower())
-        else:
-            out.append(" ")
-    return "".join(out)
-
-
-@F.pandas_udf(StringType())
-def _romanised(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in parts:
-        yield s.map(lambda t: t if t is None else romanise(t))
-
-
-def romanised(x: Column) -> Column:
-    """``romanise`` for the texts that need it; all others reach Python as null."""
-    other = x.rlike(r"[^\x00-\x7F]")
-    return F.coalesce(_romanised(F.when(other, x)), x)
-
-
 def squeezed(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"\s+", " "))
 
 
-def plain_text(x: Column, any_script: bool = False) -> Column:
-    """Lower-case ASCII words without punctuation; values that mean nothing are empty."""
+def in_ascii(x: Column) -> Column:
+    """A text of any script in ASCII, null as empty. What the normal forms below start from."""
+    return romanised(folded(text_or_empty(x)))
+
+
+def plain_text(x: Column, any_script: bool = True) -> Column:
+    """Lower-case ASCII words without punctuation; values that mean nothing are empty. Without ``any_script``, for texts
+    that went through in_ascii() already, other scripts are left out."""
     raw = text_or_empty(x)
     ascii_text = folded(raw)
     if any_script:
@@ -82,12 +53,12 @@ def plain_text(x: Column, any_script: bool = False) -> Column:
     return F.when(F.lower(F.trim(raw)).isin(*c.NOISE_VALUES), "").otherwise(out)
 
 
-def norm_name(x: Column, any_script: bool = False) -> Column:
+def norm_name(x: Column, any_script: bool = True) -> Column:
     """A business name with its legal form in one spelling."""
     return squeezed(reduce(lambda acc, p: F.regexp_replace(acc, p[0], p[1]), c.LEGAL_FORMS, plain_text(x, any_script)))
 
 
-def norm_addr(x: Column, any_script: bool = False) -> Column:
+def norm_addr(x: Column, any_script: bool = True) -> Column:
     """An address with right ordinals and street words written out."""
     out = plain_text(x, any_script)
     out = F.regexp_replace(out, r"\b(\d*1[123])th\b", "$1TH")
@@ -97,7 +68,7 @@ def norm_addr(x: Column, any_script: bool = False) -> Column:
     return squeezed(reduce(lambda acc, p: F.regexp_replace(acc, rf"\b{p[0]}\b", p[1]), c.STREET_WORDS.items(), out))
 
 
-def light_text(x: Column, plus: bool = True, any_script: bool = False) -> Column:
+def light_text(x: Column, plus: bool = True, any_script: bool = True) -> Column:
     """What the rule matchers compare: no legal forms, no street words, and "+" only counts in names."""
     raw = folded(text_or_empty(x))
     out = F.lower(romanised(raw) if any_script else raw)

@@ -4,9 +4,10 @@ A blocker is data (``Spec``): posting lists of pool records by key, and probes o
 document-frequency limits, a floor and k. Both sides become rows (country, list, key, record), meet in an equi-join,
 weights are summed for each pair, and a window keeps the k best of each anchor (and source).
 
-Scale: keys that are too frequent go before the join, by an aggregate that combines on the map side; a list is cut to its
-cap by a window over the longer lists only, and Spark limits that window's groups before it shuffles them. So a key that
-holds a third of the pool costs ``cap`` postings. Rows after the join are at most anchors x keys x cap; they are summed
+Scale: keys that are too frequent go before the join, by an aggregate that combines on the map side. A list is cut to its
+cap in two windows, over the longer lists only: first parts of it, dealt by hash, each to the largest cap, a literal that
+lets Spark drop the rest of a part before it shuffles (WindowGroupLimit), then what is left to the cap. So a key that holds
+a third of the pool costs each task some ``SALTS * cap`` postings at most, and none gets it whole. Rows after the join are at most anchors x keys x cap; they are summed
 by pair and ranked by anchor, keys that don't skew. Sizes by country and source are the only thing broadcast.
 """
 
@@ -120,6 +121,8 @@ class Spec:
 
 
 _PAIR = "array<struct<name:string,key:string>>"
+#: Parts that a long list is dealt into before its cut, and the setting under which Spark limits groups before it shuffles.
+SALTS, UNCAPPED, LIMIT_SETTING = 32, 10**9, "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def _structs(name: str, keys: Column) -> Column:
@@ -181,8 +184,15 @@ def index(pool: DataFrame, spec: Spec) -> DataFrame:
     if cap is not None:
         own_count = _by_name(spec.postings, lambda p: 1 if p.df_keys else None)  # their list may be longer than df says
         long = cap.isNotNull() & ((F.col("df") > cap) | (own_count.isNotNull() if own_count is not None else F.lit(False)))
+        most = max(p.cap for p in spec.postings if p.cap is not None)
+        conf = rows.sparkSession.conf
+        if int(conf.get(LIMIT_SETTING, "1000")) < most < UNCAPPED:
+            conf.set(LIMIT_SETTING, str(most))
+        parts = rows.where(long).withColumn("salt", F.pmod(F.xxhash64("entity_id"), F.lit(SALTS)))
+        own = Window.partitionBy(*group, "name", "key", "salt").orderBy("ord", "entity_id")
+        parts = parts.withColumn("place", F.row_number().over(own)).where(F.col("place") <= most).drop("salt", "place")
         place = F.row_number().over(Window.partitionBy(*group, "name", "key").orderBy("ord", "entity_id"))
-        cut = rows.where(long).withColumn("place", place).where(F.col("place") <= cap).drop("place")
+        cut = parts.withColumn("place", place).where(F.col("place") <= cap).drop("place")
         rows = rows.where(~long | cap.isNull()).unionByName(cut)
     return rows
 

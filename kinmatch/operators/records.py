@@ -15,15 +15,17 @@ def ordinal(entity_id):
     return F.coalesce(F.regexp_extract(entity_id, r"(\d+)$", 1).try_cast("long"), F.xxhash64(entity_id))
 
 
-def normalised(sources: DataFrame, any_script: bool = False) -> DataFrame:
+def normalised(sources: DataFrame) -> DataFrame:
     """entity_id, ord, source, country, the raw name and address, and the normalised forms and tokens, for rows with an id
-    and a country. Empty values are empty texts, never null."""
+    and a country. Empty values are empty texts, never null. Names and addresses of any script are read in ASCII, both in
+    one trip to Python; texts that are ASCII but for marked Latin letters don't make it."""
     raw = sources.select(*[t.text_or_empty(F.col(c)).alias(c) for c in SOURCE_COLUMNS])
     raw = raw.where((F.trim("entity_id") != "") & (F.trim("country") != ""))
+    raw = raw.select("*", t.in_ascii(F.col("business_name")).alias("n"), t.in_ascii(F.col("business_address")).alias("a"))
     out = raw.select(
         F.trim("entity_id").alias("entity_id"), F.trim("country").alias("country"), "business_name", "business_address",
-        t.norm_name(F.col("business_name"), any_script).alias("norm_name"), t.norm_addr(F.col("business_address"), any_script).alias("norm_addr"),
-        t.light_text(F.col("business_name"), True, any_script).alias("light_name"), t.light_text(F.col("business_address"), False, any_script).alias("light_addr"),
+        t.norm_name(F.col("n"), False).alias("norm_name"), t.norm_addr(F.col("a"), False).alias("norm_addr"),
+        t.light_text(F.col("n"), True, False).alias("light_name"), t.light_text(F.col("a"), False, False).alias("light_addr"),
     )
     return out.select(
         "*", ordinal(F.col("entity_id")).alias("ord"), F.left("entity_id", F.lit(2)).alias("source"),

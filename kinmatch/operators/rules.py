@@ -30,9 +30,9 @@ def score_v3(n: Column, a: Column, shared: Column, conflict: Column) -> Column:
     return out.when((a >= 70) & shared & (n >= 20), 70).when((a >= 85) & (n >= 30), 65).otherwise(0)
 
 
-def scored(paired: DataFrame, version: int, ratios: Column | None = None) -> DataFrame:
-    """pairs() with ``rule_score``. ``ratios``: a struct (n, a) of other similarities than the token ratios."""
-    r = ratios if ratios is not None else sim.rule_ratios(F.col("a_light_name"), F.col("b_light_name"), F.col("a_light_addr"), F.col("b_light_addr"))
+def scored(paired: DataFrame, version: int) -> DataFrame:
+    """pairs() with ``rule_score``."""
+    r = sim.rule_ratios(F.col("a_light_name"), F.col("b_light_name"), F.col("a_light_addr"), F.col("b_light_addr"))
     x, y = t.long_numbers(F.col("a_light_addr")), t.long_numbers(F.col("b_light_addr"))
     rule = {2: score_v2, 3: score_v3}[version]
     out = paired.withColumns({"r": r, "shared": F.arrays_overlap(x, y), "conflict": ft.conflict(x, y)})
@@ -46,12 +46,12 @@ def matches(anchors: DataFrame, pool: DataFrame, records: DataFrame, version: in
     return found.where(F.col("rule_score") >= MATCH_SCORE).select("s1_id", "cand_id", "source", "rule_score")
 
 
-def _raw_pairs(found: DataFrame, records: DataFrame, ratio: Column | None = None) -> DataFrame:
+def _raw_pairs(found: DataFrame, records: DataFrame) -> DataFrame:
     """Pairs with what rescue looks at: ``ratio`` of the lower-cased names, ``shared`` and ``conflict`` of house numbers,
     ``common``: a clean word in common."""
     p = ft.pairs(found, records)
     x, y = t.house_numbers(F.col("a_business_address")), t.house_numbers(F.col("b_business_address"))
-    r = ratio if ratio is not None else sim.token_sort(F.lower("a_business_name"), F.lower("b_business_name"))
+    r = sim.token_sort(F.lower("a_business_name"), F.lower("b_business_name"))
     common = F.arrays_overlap(t.clean_words(F.col("a_business_name")), t.clean_words(F.col("b_business_name")))
     return p.withColumns({"ratio": r, "shared": F.arrays_overlap(x, y), "conflict": ft.conflict(x, y), "common": common})
 
@@ -65,23 +65,23 @@ def _best_ratio(p: DataFrame, most: Column) -> DataFrame:
     return p.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).select("s1_id", "cand_id", "source", F.round("ratio", 6).alias("ratio"))
 
 
-def rescue_empty(anchors: DataFrame, pool: DataFrame, records: DataFrame, matched: DataFrame, ratio: Column | None = None) -> DataFrame:
+def rescue_empty(anchors: DataFrame, pool: DataFrame, records: DataFrame, matched: DataFrame) -> DataFrame:
     """New matches of anchors that have none: the ten best by the rescue blocker, at least 12, four at most by name."""
     empty = anchors.join(matched.select(F.col("s1_id").alias("entity_id")), "entity_id", "left_anti")
-    return _best_ratio(_rescued(_raw_pairs(blocking.candidates(empty, pool, blockers.RESCUE_A), records, ratio)), F.lit(MOST))
+    return _best_ratio(_rescued(_raw_pairs(blocking.candidates(empty, pool, blockers.RESCUE_A), records)), F.lit(MOST))
 
 
-def rescue_few(anchors: DataFrame, pool: DataFrame, records: DataFrame, matched: DataFrame, ratio: Column | None = None) -> DataFrame:
+def rescue_few(anchors: DataFrame, pool: DataFrame, records: DataFrame, matched: DataFrame) -> DataFrame:
     """New matches of anchors that have less than two: any candidate of 10 or more, filled up to four."""
     have = matched.groupBy("s1_id").agg(F.count(F.lit(1)).alias("have"))
     full = have.where("have >= 2").select(F.col("s1_id").alias("entity_id"))
     found = blocking.candidates(anchors.join(full, "entity_id", "left_anti"), pool, blockers.RESCUE_B)
     found = found.join(matched.select("s1_id", "cand_id"), ["s1_id", "cand_id"], "left_anti")
-    p = _rescued(_raw_pairs(found, records, ratio)).join(have, "s1_id", "left")
+    p = _rescued(_raw_pairs(found, records)).join(have, "s1_id", "left")
     return _best_ratio(p, MOST - F.coalesce("have", F.lit(0)))
 
 
-def complete_sources(anchors: DataFrame, pool: DataFrame, records: DataFrame, matched: DataFrame, ratio: Column | None = None) -> DataFrame:
+def complete_sources(anchors: DataFrame, pool: DataFrame, records: DataFrame, matched: DataFrame) -> DataFrame:
     """New matches from the other source, for anchors with less than four matches, all from one source: the five best by
     the blocker, at least 15, in their order until there are four."""
     have = matched.groupBy("s1_id").agg(F.count(F.lit(1)).alias("have"), F.min(F.left("cand_id", F.lit(2))).alias("lo"), F.max(F.left("cand_id", F.lit(2))).alias("hi"))
@@ -90,7 +90,7 @@ def complete_sources(anchors: DataFrame, pool: DataFrame, records: DataFrame, ma
     deep = blockers.Spec(blockers.COMPLETION.postings, blockers.COMPLETION.probes, None, None, False)
     found = blocking.candidates(some, pool, deep).join(one.withColumnRenamed("entity_id", "s1_id"), "s1_id").where(F.col("source") == F.col("other"))
     found = blocking.best(found.select("s1_id", "cand_id", "country", "source", "s1_ord", "cand_ord", "score"), blockers.COMPLETION.k, False).where(F.col("score") >= blockers.COMPLETION.floor)
-    p = _raw_pairs(found, records, ratio).where(~F.col("conflict") & ((F.col("shared") & (F.col("ratio") >= 75)) | (F.col("ratio") >= 88)))
+    p = _raw_pairs(found, records).where(~F.col("conflict") & ((F.col("shared") & (F.col("ratio") >= 75)) | (F.col("ratio") >= 88)))
     p = p.join(one.select(F.col("entity_id").alias("s1_id"), "have"), "s1_id")
     order = Window.partitionBy("s1_id").orderBy("rank")
     p = p.withColumn("place", F.row_number().over(order)).where(F.col("place") <= MOST - F.col("have"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kinmatch.operators import records as r
+from kinmatch.sources.shared import written
 
 _SPARK = r"""
 select concat(case when doc_id % 3 = 0 then 'S1-' when doc_id % 3 = 1 then 'S2-' else 'S3-' end, cast(doc_id as string)) entity_id,
@@ -30,7 +31,8 @@ def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.normalised(entities(spark, sf_dir))
+    """Normalised once and written, as the engine does it: the key families, frequencies and features read their own columns."""
+    return written(r.normalised(entities(spark, sf_dir)), "records")
 
 
 def true_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,9 +14,9 @@ from kinmatch.sources import files
 from kinmatch.streaming.incremental import remaining
 
 
-def normalised_once(sources: DataFrame, path: str, any_script: bool = False) -> DataFrame:
+def normalised_once(sources: DataFrame, path: str) -> DataFrame:
     """Normalised records, written by country and read again."""
-    records = r.normalised(sources, any_script)
+    records = r.normalised(sources)
     columns = records.columns
     records.withColumn("part", F.col("country")).write.partitionBy("part").mode("overwrite").parquet(path)
     return sources.sparkSession.read.parquet(path).select(*columns)

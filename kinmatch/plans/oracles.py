@@ -252,6 +252,45 @@ RULES = {
 }
 
 
+def lcs(a: str, b: str) -> str:
+    """Longest common subsequence of two texts of up to 120 characters: a row of the table as the bits of a number."""
+    hits = f"coalesce(list_sum(list_transform(range(1, length({a}) + 1), lambda i: CASE WHEN substr({a}, i, 1) = ch THEN 1::HUGEINT << (i - 1) ELSE 0::HUGEINT END)), 0)::HUGEINT"
+    full = f"((1::HUGEINT << length({a})) - 1)"
+    step = f"list_transform([v & {hits}], lambda u: ((v + u) | (v - u)) & {full})[1]"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE length({a}) - bit_count(list_reduce(string_split({b}, ''), lambda v, ch: {step}, {full})) END"
+
+
+def ratio(a: str, b: str) -> str:
+    return f"CASE WHEN length({a}) + length({b}) = 0 THEN 100::DOUBLE ELSE 200::DOUBLE * ({lcs(a, b)}) / (length({a}) + length({b})) END"
+
+
+def sorted_text(arr: str) -> str:
+    return f"array_to_string(list_sort({arr}), ' ')"
+
+
+def ratios(source: str, name: str, a: str, b: str) -> str:
+    """CTEs of which the last, ``name``, has for each pair of texts (x, y) in ``source`` the four token and letter ratios,
+    each by itself by its definition."""
+    left, right, both = "list_filter(list_distinct(tx), lambda w: NOT list_contains(ty, w))", "list_filter(list_distinct(ty), lambda w: NOT list_contains(tx, w))", "list_intersect(tx, ty)"
+    one, two, shared = "(n + g + length(l))", "(n + g + length(r))", "n"
+    by_set = f"CASE WHEN len(tx) = 0 OR len(ty) = 0 THEN 0::DOUBLE WHEN n > 0 AND (l = '' OR r = '') THEN 100::DOUBLE ELSE greatest(100::DOUBLE - 100::DOUBLE * (length(l) + length(r) - 2 * ({lcs('l', 'r')})) / ({one} + {two}), CASE WHEN n > 0 THEN 100::DOUBLE - 100::DOUBLE * (g + length(l)) / ({shared} + {one}) ELSE 0::DOUBLE END, CASE WHEN n > 0 THEN 100::DOUBLE - 100::DOUBLE * (g + length(r)) / ({shared} + {two}) ELSE 0::DOUBLE END) END"
+    return f"""{name}_p AS (SELECT DISTINCT {a} AS x, {b} AS y FROM {source}),
+{name}_t AS (SELECT *, {toks("x")} AS tx, {toks("y")} AS ty FROM {name}_p),
+{name}_s AS (SELECT *, {sorted_text("tx")} AS sx, {sorted_text("ty")} AS sy, {sorted_text(left)} AS l, {sorted_text(right)} AS r, length({sorted_text(f"list_distinct({both})")}) AS n FROM {name}_t),
+{name}_g AS (SELECT *, CAST(n > 0 AS INT) AS g FROM {name}_s),
+{name} AS (SELECT x, y, {ratio("x", "y")} AS plain, {ratio("sx", "sy")} AS by_sort, {by_set} AS by_set FROM {name}_g)"""
+
+
+def partial_ratios(source: str, name: str, a: str, b: str) -> str:
+    """CTEs; the last, ``name``, has for each pair (x, y) the best ratio of the shorter text to a stretch of the longer, of its
+    length or cut off at an end."""
+    return f"""{name}_p AS (SELECT DISTINCT {a} AS x, {b} AS y FROM {source} WHERE {a} <> '' AND {b} <> ''),
+{name}_o AS (SELECT x, y, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS s, CASE WHEN length(x) <= length(y) THEN y ELSE x END AS o FROM {name}_p),
+{name}_e AS (SELECT x, y, s, o FROM {name}_o UNION ALL SELECT x, y, o, s FROM {name}_o WHERE length(s) = length(o)),
+{name}_w AS (SELECT DISTINCT x, y, s, substr(o, greatest(1, k), k + length(s) - greatest(1, k)) AS w FROM (SELECT *, unnest(range(2 - length(s), length(o) + 1)) AS k FROM {name}_e)),
+{name} AS (SELECT x, y, max({ratio("s", "w")}) AS best FROM {name}_w GROUP BY x, y)"""
+
+
 def tfidf(column: str, low: int, high: int, k: int, features: int = 80_000, floor: float = 0.01) -> str:
     """CTEs for tfidf.cosine_top_k; the last is ``cand``."""
     gram = " UNION ALL ".join(f"SELECT country, source, entity_id, ord, unnest(CASE WHEN length(w) >= {n} THEN list_transform(range(1, length(w) - {n - 2}), lambda i: substr(w, i, {n})) ELSE {'[w]' if n == low else '[]'} END) AS gram FROM ww" for n in range(low, high + 1))

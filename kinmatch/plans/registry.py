@@ -16,6 +16,7 @@ from kinmatch.operators import records as r
 from kinmatch.plans import fixture as fx
 from kinmatch.plans import oracles as o
 from kinmatch.sources import files
+from kinmatch.sources.shared import written
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -44,6 +45,20 @@ def _norm_name(spark, sf_dir):
     return fx.records(spark, sf_dir).select("entity_id", "norm_name", "light_name")
 
 
+#: Names of other scripts with the normal forms that they must have: written out, so that the SQL shares nothing with the code.
+_SCRIPTS = (
+    ("राम मार्केटिंग प्राइवेट लिमिटेड", "ram marketimg praivet limited"), ("शर्मा स्टोर्स", "sharma stors"), ("नमस्ते", "namaste"), ("Кафе Пушкин", "kafe pushkin"), ("Борщ и Хлеб Ltd", "borshch i khleb limited"),
+    ("北京餐厅 Ltd", "beijingcanting limited"), ("Αθήνα Καφέ", "athena kaphe"), ("カフェ 東京", "kafe dongjing"), ("서울 식당", "seoul sigdang"), ("ಕರ್ನಾಟಕ", "karnatak"), ("Straße Œuvre Łódź", "strasse oeuvre lodz"), ("१२ मार्ग", "12 marg"),
+)
+
+
+@_add("other_scripts", "SELECT * FROM (VALUES " + ", ".join(f"({i}, '{n}')" for i, (_, n) in enumerate(_SCRIPTS)) + ") AS v(i, norm_name)")
+def _other_scripts(spark, sf_dir):
+    """Names that aren't written in Latin letters, through the same records as all others."""
+    rows = spark.createDataFrame([(f"S1-{i}", x, x, "India") for i, (x, _) in enumerate(_SCRIPTS)], "entity_id string, business_name string, business_address string, country string")
+    return r.normalised(rows).select(F.col("ord").cast("int").alias("i"), "norm_name")
+
+
 @_add("norm_addr", o.query(select="SELECT entity_id, norm_addr, light_addr FROM rec"))
 def _norm_addr(spark, sf_dir):
     return fx.records(spark, sf_dir).select("entity_id", "norm_addr", "light_addr")
@@ -118,6 +133,7 @@ def _idf_weights(spark, sf_dir):
 def _cosine(column, grams):
     def run(spark, sf_dir):
         rec = fx.records(spark, sf_dir)
+        rec = rec.withColumn("norm_both", F.concat_ws(" ", "norm_name", "norm_addr"))
         return tfidf.cosine_top_k(r.anchors(rec), r.pool(rec), column, grams, 20)
 
     return run
@@ -127,11 +143,21 @@ _add("tfidf_name_top20", o.query(o.tfidf("norm_name", 2, 4, 20), select=_CAND))(
 _add("tfidf_addr_top20", o.query(o.tfidf("norm_addr", 3, 5, 20), select=_CAND))(_cosine("norm_addr", (3, 5)))
 
 
+_BOTH_TEXTS = "(norm_name || ' ' || norm_addr)"
+_add("tfidf_both_top20", o.query(o.tfidf(_BOTH_TEXTS, 3, 5, 20), select=_CAND))(_cosine("norm_both", (3, 5)))
+
+
 def _several(spark, sf_dir):
     rec = fx.records(spark, sf_dir)
     return [blocking.candidates(r.anchors(rec), r.pool(rec), s) for s in (bl.TOKEN_OVERLAP, bl.PREFIX5, bl.NUMERIC)]
 
 
+def _tagged(sql: str, names: str, tag: str) -> str:
+    import re
+
+    return re.sub(rf"\b({names})\b(?!')", rf"\1_{tag}", sql)
+
+
 def _renamed(spec, tag: str) -> str:
     """The CTEs of a blocker under names of their own."""
     import re
@@ -142,6 +168,10 @@ def _renamed(spec, tag: str) -> str:
 _THREE = [_renamed(s, k) for s, k in ((bl.TOKEN_OVERLAP, "t"), (bl.PREFIX5, "p"), (bl.NUMERIC, "n"))]
 
 
+_TFIDF_NAMES = "ww|g|sz|vo|wt|sc|cand"
+_SIX = [*[_tagged(o.tfidf(x, *n, 20), _TFIDF_NAMES, k) for x, n, k in ((_BOTH_TEXTS, (3, 5), "b"), ("norm_name", (2, 4), "m"), ("norm_addr", (3, 5), "a"))], *_THREE]
+
+
 @_add("block_union", o.query(*_THREE, select="SELECT s1_id, cand_id FROM cand_t UNION SELECT s1_id, cand_id FROM cand_p UNION SELECT s1_id, cand_id FROM cand_n"))
 def _block_union(spark, sf_dir):
     return blocking.union(*_several(spark, sf_dir))
@@ -150,14 +180,16 @@ def _block_union(spark, sf_dir):
 @_add(
     "block_priority_union",
     o.query(
-        *_THREE,
-        "al AS (SELECT s1_id, cand_id, cand_ord, 0 AS priority, rank AS place FROM cand_t UNION ALL SELECT s1_id, cand_id, cand_ord, 1, rank FROM cand_p UNION ALL SELECT s1_id, cand_id, cand_ord, 2, rank FROM cand_n)",
+        *_SIX,
+        "al AS (" + " UNION ALL ".join(f"SELECT s1_id, cand_id, cand_ord, {i} AS priority, rank AS place FROM cand_{x}" for i, x in enumerate("bmatpn")) + ")",
         "fi AS (SELECT * FROM al QUALIFY row_number() OVER (PARTITION BY s1_id, cand_id ORDER BY priority, place) = 1)",
         select="SELECT s1_id, cand_id, priority, CAST(row_number() OVER (PARTITION BY s1_id ORDER BY priority, place, cand_ord, cand_id) AS INT) AS rank FROM fi QUALIFY rank <= 50",
     ),
 )
 def _block_priority_union(spark, sf_dir):
-    return blocking.priority_union(_several(spark, sf_dir), 50)
+    """Six blockers in order: cosine of both texts, of names, of addresses, then shared words, prefixes, numbers."""
+    cosines = [_cosine(c, n)(spark, sf_dir) for c, n in (("norm_both", (3, 5)), ("norm_name", (2, 4)), ("norm_addr", (3, 5)))]
+    return blocking.priority_union([*cosines, *_several(spark, sf_dir)], 50)
 
 
 @_add("block_all_anchors", o.query(o.candidates(bl.INTEGER_TOP15), o.lists("cand", "li"), select="SELECT s1_id, array_to_string(ids, ',') AS candidates FROM li"))
@@ -190,23 +222,48 @@ def _features_jw(spark, sf_dir):
     return ft.pairs(_found(rec), rec).select("s1_id", "cand_id", jw("norm_name").alias("jw_name"), jw("norm_addr").alias("jw_addr"), F.levenshtein("a_norm_name", "b_norm_name").alias("edits"))
 
 
-@_add("features_all")
+_LONG = {s: f"list_filter({o.toks(f'{s}_norm_name')}, lambda w: length(w) >= 2)[1]" for s in "ab"}
+_BOTH = "CASE WHEN a_norm_{0} = '' OR b_norm_{0} = '' THEN 0::DOUBLE ELSE {1} / 100 END"
+_ALL_FEATURES = {
+    **o.FEATURES,
+    "name_jaro_winkler": "CASE WHEN a_norm_name = '' OR b_norm_name = '' THEN 0.0 ELSE jaro_winkler_similarity(a_norm_name, b_norm_name) END",
+    "name_levenshtein_ratio": _BOTH.format("name", "nr.plain"), "name_token_sort_ratio": _BOTH.format("name", "nr.by_sort"), "name_token_set_ratio": _BOTH.format("name", "nr.by_set"),
+    "name_partial_ratio": _BOTH.format("name", "np.best"), "first_token_ratio": f"CASE WHEN a_norm_name = '' OR b_norm_name = '' OR {_LONG['a']} IS NULL OR {_LONG['b']} IS NULL THEN 0::DOUBLE ELSE {o.ratio(_LONG['a'], _LONG['b'])} / 100 END",
+    "addr_token_sort_ratio": _BOTH.format("addr", "ar.by_sort"), "addr_levenshtein_ratio": _BOTH.format("addr", "ar.plain"),
+}
+
+
+def _all_features_sql() -> str:
+    each = "ea AS (SELECT s1_id, cand_id, " + ", ".join(f"{v} AS {k}" for k, v in _ALL_FEATURES.items()) + " FROM pairs LEFT JOIN nr ON nr.x = a_norm_name AND nr.y = b_norm_name LEFT JOIN np ON np.x = a_norm_name AND np.y = b_norm_name LEFT JOIN ar ON ar.x = a_norm_addr AND ar.y = b_norm_addr)"
+    more = {"combined_score": "0.6::DOUBLE * name_token_sort_ratio + 0.4::DOUBLE * addr_jaccard", "name_addr_product": "name_jaro_winkler * addr_jaccard"}
+    names = [*ft.FEATURE_NAMES, *ft.EXTRA_NAMES]
+    return o.query(
+        _FOUND, o.paired(), o.ratios("pairs", "nr", "a_norm_name", "b_norm_name"), o.partial_ratios("pairs", "np", "a_norm_name", "b_norm_name"), o.ratios("pairs", "ar", "a_norm_addr", "b_norm_addr"), each,
+        select="SELECT s1_id, cand_id, " + ", ".join(f"round({more.get(n, n)}, 6) AS {n}" for n in names) + " FROM ea",
+    )
+
+
+@_add("features_all", _all_features_sql())
 def _features_all(spark, sf_dir):
     rec = fx.records(spark, sf_dir)
     return ft.featurized(ft.pairs(_found(rec), rec)).select("s1_id", "cand_id", *[F.round(c, 6).alias(c) for c in (*ft.FEATURE_NAMES, *ft.EXTRA_NAMES)])
 
 
-def _rule_sql(version: int) -> str:
+def _rule_ctes(version: int) -> tuple[str, ...]:
     nums = {s: f"list_distinct(regexp_extract_all({s}_light_addr, '\\b\\d{{2,}}\\b'))" for s in "ab"}
-    inner = f"SELECT s1_id, cand_id, 100 * {o.jw('a_light_name', 'b_light_name')} AS n, 100 * {o.jw('a_light_addr', 'b_light_addr')} AS a, len(list_intersect({nums['a']}, {nums['b']})) > 0 AS m, {o.conflict(nums['a'], nums['b'])} AS x FROM pairs"
-    return o.query(_FOUND, o.paired(), select=f"SELECT s1_id, cand_id, CAST({o.RULES[version]} AS INT) AS rule_score FROM ({inner})")
+    n = "CASE WHEN a_light_name = '' OR b_light_name = '' THEN 0::DOUBLE ELSE greatest(nr.by_sort, nr.by_set) END"
+    a = "CASE WHEN a_light_addr = '' OR b_light_addr = '' THEN 0::DOUBLE ELSE ar.by_sort END"
+    return (
+        o.paired(), o.ratios("pairs", "nr", "a_light_name", "b_light_name"), o.ratios("pairs", "ar", "a_light_addr", "b_light_addr"),
+        f"ru AS (SELECT s1_id, cand_id, source, {n} AS n, {a} AS a, len(list_intersect({nums['a']}, {nums['b']})) > 0 AS m, {o.conflict(nums['a'], nums['b'])} AS x FROM pairs JOIN nr ON nr.x = a_light_name AND nr.y = b_light_name JOIN ar ON ar.x = a_light_addr AND ar.y = b_light_addr)",
+        f"rs AS (SELECT s1_id, cand_id, source, CAST({o.RULES[version]} AS INT) AS rule_score FROM ru)",
+    )
 
 
 def _rule(version: int):
     def run(spark, sf_dir):
         rec = fx.records(spark, sf_dir)
-        jw = lambda c: 100 * F.round(sim.jaro_winkler_column(F.col(f"a_light_{c}"), F.col(f"b_light_{c}")), 6)
-        return rules.scored(ft.pairs(_found(rec), rec), version, F.struct(jw("name").alias("n"), jw("addr").alias("a"))).select("s1_id", "cand_id", "rule_score")
+        return rules.scored(ft.pairs(_found(rec), rec), version).select("s1_id", "cand_id", "rule_score")
 
     return run
 
@@ -219,9 +276,9 @@ def _rule_matches(version: int):
     return run
 
 
-for _v in (2, 3):
-    _add(f"rule_v{_v}", _rule_sql(_v))(_rule(_v))
-    _add(f"rule_v{_v}_matches")(_rule_matches(_v))
+for _v, _spec in ((2, bl.RULE_V2), (3, bl.RULE_V3)):
+    _add(f"rule_v{_v}", o.query(_FOUND, *_rule_ctes(_v), select="SELECT s1_id, cand_id, rule_score FROM rs"))(_rule(_v))
+    _add(f"rule_v{_v}_matches", o.query(o.candidates(_spec), *_rule_ctes(_v), select=f"SELECT s1_id, cand_id, source, rule_score FROM rs WHERE rule_score >= {rules.MATCH_SCORE}"))(_rule_matches(_v))
 
 
 # ---- decisions; p stands for a model's score and is the blocker's, scaled
@@ -255,13 +312,13 @@ def _closure_sql(floor: str, same: str) -> str:
 
 @_add("triangle_closure", o.query(_FOUND, _SCORED, _OK, _BEST, _RESCUED, select=_closure_sql(" AND y.p >= 0.3", "(x.ba = y.ba OR x.ba = '' OR y.ba = '')").format(m="re")))
 def _triangle_closure(spark, sf_dir):
-    s = _scored(fx.records(spark, sf_dir))
+    s = written(_scored(fx.records(spark, sf_dir)), "scores")  # read four times
     return rules.closure(s, ensemble.accepted(s, _TAU, 0.2), 0.3)
 
 
 @_add("triangle_closure_strict", o.query(_FOUND, _SCORED, _OK, _BEST, _RESCUED, select=_closure_sql("", "x.ba = y.ba").format(m="re")))
 def _triangle_closure_strict(spark, sf_dir):
-    s = _scored(fx.records(spark, sf_dir))
+    s = written(_scored(fx.records(spark, sf_dir)), "scores")  # read four times
     return rules.closure(s, ensemble.accepted(s, _TAU, 0.2), None, True)
 
 
@@ -272,18 +329,17 @@ def _matched(rec, least: float = 20.0):
 _MATCHED = "mt AS (SELECT * FROM cand WHERE score >= 20)"
 
 
-def _raw_jw():
-    return F.round(100 * sim.jaro_winkler_column(F.lower("a_business_name"), F.lower("b_business_name")), 6)
-
-
-def _raw_sql(cand: str, tag: str, extra: str = "") -> str:
-    ratio = "round(100 * CASE WHEN a.business_name = '' OR b.business_name = '' THEN 0.0 ELSE jaro_winkler_similarity(lower(a.business_name), lower(b.business_name)) END, 6)"
+def _raw_sql(cand: str, tag: str) -> str:
+    """CTEs of which the last, ``tag``, has what rescue looks at."""
     side = lambda x, s: x.replace("business_address", f"{s}.business_address").replace("business_name", f"{s}.business_name")
     x, y = side(o.HOUSE, "a"), side(o.HOUSE, "b")
-    return f"{tag} AS (SELECT k.*, {ratio} AS ratio, len(list_intersect({x}, {y})) > 0 AS shared, {o.conflict(x, y)} AS conflict, len(list_intersect({side(o.CLEAN, 'a')}, {side(o.CLEAN, 'b')})) > 0 AS common{extra} FROM {cand} k JOIN rec a ON a.entity_id = k.s1_id JOIN rec b ON b.entity_id = k.cand_id)"
+    named = f"{tag}_n AS (SELECT lower(a.business_name) AS p, lower(b.business_name) AS q FROM {cand} k JOIN rec a ON a.entity_id = k.s1_id JOIN rec b ON b.entity_id = k.cand_id)"
+    ratio = "CASE WHEN a.business_name = '' OR b.business_name = '' THEN 0::DOUBLE ELSE t.by_sort END"
+    raw = f"{tag} AS (SELECT k.*, {ratio} AS exact, round({ratio}, 6) AS ratio, len(list_intersect({x}, {y})) > 0 AS shared, {o.conflict(x, y)} AS conflict, len(list_intersect({side(o.CLEAN, 'a')}, {side(o.CLEAN, 'b')})) > 0 AS common FROM {cand} k JOIN rec a ON a.entity_id = k.s1_id JOIN rec b ON b.entity_id = k.cand_id JOIN {tag}_t t ON t.x = lower(a.business_name) AND t.y = lower(b.business_name))"
+    return ",\n".join((named, o.ratios(f"{tag}_n", f"{tag}_t", "p", "q").replace(f"{tag}_t_t", f"{tag}_tt"), raw))
 
 
-_RESCUE_OK = "NOT conflict AND CASE WHEN shared THEN ratio >= 72 ELSE ratio >= 85 AND common END"
+_RESCUE_OK = "NOT conflict AND CASE WHEN shared THEN exact >= 72 ELSE exact >= 85 AND common END"
 
 
 @_add(
@@ -292,7 +348,7 @@ _RESCUE_OK = "NOT conflict AND CASE WHEN shared THEN ratio >= 72 ELSE ratio >= 8
 )
 def _rescue_empty(spark, sf_dir):
     rec = fx.records(spark, sf_dir)
-    return rules.rescue_empty(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
+    return rules.rescue_empty(r.anchors(rec), r.pool(rec), rec, _matched(rec))
 
 
 @_add(
@@ -305,7 +361,7 @@ def _rescue_empty(spark, sf_dir):
 )
 def _rescue_few(spark, sf_dir):
     rec = fx.records(spark, sf_dir)
-    return rules.rescue_few(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
+    return rules.rescue_few(r.anchors(rec), r.pool(rec), rec, _matched(rec))
 
 
 _DEEP = bl.Spec(bl.COMPLETION.postings, bl.COMPLETION.probes, None, None, False)
@@ -318,12 +374,12 @@ _DEEP = bl.Spec(bl.COMPLETION.postings, bl.COMPLETION.probes, None, None, False)
         "on1 AS (SELECT s1_id, count(*) AS have, CASE WHEN min(source) = 'S2' THEN 'S3' ELSE 'S2' END AS other FROM mt GROUP BY s1_id HAVING count(*) < 4 AND min(source) = max(source))",
         o.candidates(_DEEP, "source = 'S1' AND entity_id IN (SELECT s1_id FROM on1)"),
         "fr AS (SELECT cand.* EXCLUDE (rank), have, row_number() OVER (PARTITION BY s1_id ORDER BY score DESC, cand_ord, cand_id) AS rk FROM cand JOIN on1 USING (s1_id) WHERE source = other QUALIFY rk <= 5)", _raw_sql("fr", "rw"),
-        select="SELECT s1_id, cand_id, source, ratio FROM rw WHERE score >= 15 AND NOT conflict AND ((shared AND ratio >= 75) OR ratio >= 88) QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY rk) <= 4 - have",
+        select="SELECT s1_id, cand_id, source, ratio FROM rw WHERE score >= 15 AND NOT conflict AND ((shared AND exact >= 75) OR exact >= 88) QUALIFY row_number() OVER (PARTITION BY s1_id ORDER BY rk) <= 4 - have",
     ),
 )
 def _dual_source_completion(spark, sf_dir):
     rec = fx.records(spark, sf_dir)
-    return rules.complete_sources(r.anchors(rec), r.pool(rec), rec, _matched(rec), _raw_jw())
+    return rules.complete_sources(r.anchors(rec), r.pool(rec), rec, _matched(rec))
 
 
 def _scrub_sql() -> str:

@@ -75,6 +75,9 @@ def test_a_hot_key_costs_its_cap(spark):
     assert blocking.index(r.pool(rec), spec).where("key = 'acme'").count() == 50
     out = blocking.candidates(r.anchors(rec), r.pool(rec), spec)
     assert out.count() == 20 * 50 and out.agg(F.max("cand_ord")).first()[0] == 147
+    for s in (spec, blockers.IDF_TOP15, blockers.INTEGER_TOP50, blockers.RULE_V3):
+        plan = blocking.index(r.pool(rec), s)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("WindowGroupLimit") >= 1, "parts of a list are limited before they are shuffled"
 
 
 def test_files_round_trip(spark, rec, tmp_path):
