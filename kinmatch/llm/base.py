@@ -2,35 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
-import os
-import shutil
-import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinmatch.sources import shared
+from kinmatch.sources.shared import shared_dir
+
 #: Bytes a broadcast table may have before it is joined by a shuffle instead.
 BROADCAST_BYTES = 64 << 20
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``. Where it is unset, only a local master
-    gets a temporary one."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found is None:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir is not set; driver and executors need a shared folder")
-        found = tempfile.mkdtemp(prefix="kinmatch-")
-        atexit.register(shutil.rmtree, found, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/kinmatch/{name}-{uuid.uuid4().hex}"
 
@@ -78,9 +63,6 @@ def small(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
 
 
-_shipped: set[str] = set()
-
-
 BATCH_SETTING, BATCH_DEFAULT, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
 
 
@@ -89,21 +71,7 @@ def ship(spark: SparkSession, small_batches: bool = False) -> None:
     thousand texts go to a worker at a time, if the session leaves Spark's own number unchanged."""
     if small_batches and spark.conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
         spark.conf.set(BATCH_SETTING, BATCH_ROWS)
-    app = spark.sparkContext.applicationId
-    if app in _shipped:
-        return
-    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    folder = tempfile.mkdtemp(prefix="kinmatch-zip-")  # the driver serves it to executors; nothing else reads it
-    target = os.path.join(folder, "kinmatch_pkg.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for at, _, names in os.walk(top):
-            for n in names:
-                if n.endswith(".py"):
-                    full = os.path.join(at, n)
-                    z.write(full, os.path.join("kinmatch", os.path.relpath(full, top)))
-    spark.sparkContext.addPyFile(target)
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    _shipped.add(app)
+    shared.ship(spark)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
