@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinmatch.llm.base import small, written
+from kinmatch.llm.base import BROADCAST_BYTES, small, written
 
 MASKS = ("1110101", "11010011", "1011011")
 WINDOW, MATCHED = 12, 75
@@ -62,8 +62,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = written(benchmark.select(F.col("item_id").alias("it_id"), tokens(F.col("text")).alias("it")), "items")
     pairs = docs.select("doc_id", "text").join(small(found, 64), F.col("doc_id").eqNullSafe(F.col("doc")))
     pairs = pairs.select("doc_id", "item", "diagonal", tokens(F.col("text")).alias("dt"))
-    widest = items.agg(F.max(F.size("it"))).first()[0] or 0
-    return verified(pairs.join(small(items, 64 + 48 * widest), F.col("item").eqNullSafe(F.col("it_id"))))
+    size = items.agg(F.sum(F.aggregate("it", F.lit(64).cast("long"), lambda acc, x: acc + 32 + F.octet_length(x)))).first()[0] or 0
+    items = F.broadcast(items) if size <= BROADCAST_BYTES else items  # by the tokens' real bytes: one can be of any length
+    return verified(pairs.join(items, F.col("item").eqNullSafe(F.col("it_id"))))
 
 
 def verified(pairs: DataFrame) -> DataFrame:

@@ -199,12 +199,15 @@ def _nullable(schema: StructType) -> StructType:
 def in_arrivals(docs: DataFrame, root: str, n_arrivals: int = 16, target_bytes: int = TARGET_BYTES, fan_in: int = FAN_IN) -> ShardStore:
     """A store to which docs have come in ``n_arrivals`` batches by doc_id, compacted after each, old versions removed.
 
-    Rows stay whole, repeated ones too; rows with a null doc_id come with the first batch. Any columns are stored, except
-    one named ``__arrival``. An empty table makes a store of empty runs.
+    Rows stay whole, repeated ones too; rows with a null doc_id come with the first batch. Any columns are stored. An empty
+    table makes a store of empty runs.
     """
     store = ShardStore(docs.sparkSession, root, target_bytes, fan_in)
     batch = F.coalesce(F.pmod(F.col("doc_id"), F.lit(n_arrivals)), F.lit(0)).cast("int")
-    runs, schema = store.stage(docs.withColumn("__arrival", batch), "__arrival", range(n_arrivals))
+    name = "__arrival"
+    while name in docs.columns:
+        name += "_"
+    runs, schema = store.stage(docs.withColumn(name, batch), name, range(n_arrivals))
     for a in range(n_arrivals):
         store.append_run(runs[a], schema)
         if store.compact():

@@ -51,3 +51,9 @@ def test_odd_rows(spark, tmp_path):
     assert shards.in_arrivals(docs.limit(0), str(tmp_path / "e"), n_arrivals=5).read().collect() == []
     with pytest.raises(ValueError, match="arrivals"):
         store.stage(docs.withColumn("k", F.lit(9)), "k", range(3))
+
+
+def test_a_column_named_like_the_arrivals_is_kept(spark, tmp_path):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), (F.col("id") * 2).alias("__arrival"))
+    store = shards.in_arrivals(docs, str(tmp_path / "clash"), 4)
+    assert store.read().columns == docs.columns and {tuple(r) for r in store.read().collect()} == {tuple(r) for r in docs.collect()}
