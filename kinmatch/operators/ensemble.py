@@ -88,6 +88,13 @@ def fit(rows: DataFrame, s: Settings = Settings()) -> list[PipelineModel]:
     return [Pipeline(stages=[vector, p]).fit(rows) for p in parts]
 
 
+def baseline(rows: DataFrame, s: Settings = Settings()) -> PipelineModel:
+    """One model of boosted trees without weights: what the three are held against."""
+    vector = VectorAssembler(inputCols=list(FEATURE_NAMES), outputCol="features", handleInvalid="keep")
+    trees = GBTClassifier(maxIter=s.iterations, maxDepth=s.depth, stepSize=s.step, labelCol="label", featuresCol="features", seed=s.seed)
+    return Pipeline(stages=[vector, trees]).fit(rows.withColumn("label", F.col("label").cast("double")))
+
+
 def importances(model: PipelineModel, top: int = 10) -> list[tuple[str, float]]:
     """The features with the largest gain."""
     v = model.stages[-1].featureImportances.toArray()

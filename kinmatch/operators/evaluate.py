@@ -94,6 +94,27 @@ def recall_at(truth: DataFrame, found: DataFrame, ks: tuple[int, ...] = (1, 5, 1
     return one.select("n", rows).select("x.k", "x.n_found", F.round(F.col("x.n_found") / F.col("n"), 6).alias("recall"))
 
 
+def singleton_rate(anchors: DataFrame, scored: DataFrame, taus: tuple[float, ...]) -> DataFrame:
+    """(tau, n_singletons, rate): anchors without a pair at each threshold; one pass for all thresholds."""
+    top = scored.groupBy("s1_id").agg(F.max("p").alias("top"))
+    one = anchors.select(F.col("entity_id").alias("s1_id")).join(top, "s1_id", "left")
+    one = one.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("top").isNull() | (F.col("top") < x)).alias(f"t{i}") for i, x in enumerate(taus)])
+    rows = F.explode(F.array(*[F.struct(F.lit(float(x)).alias("tau"), F.col(f"t{i}").alias("n_singletons")) for i, x in enumerate(taus)])).alias("x")
+    return one.select("n", rows).select("x.tau", "x.n_singletons", F.round(F.col("x.n_singletons") / F.col("n"), 6).alias("rate"))
+
+
+def fixed_distractors(anchors: DataFrame, pool: DataFrame, truth: DataFrame, n: int = 15) -> DataFrame:
+    """(s1_id, cand_id, label): each anchor's true matches, and about ``n`` other records of its country, the same ones each
+    time. A country's pool is dealt into parts of n records by ordinal and an anchor meets one part, so this is an equi-join."""
+    parts = pool.groupBy("country").agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / n)).cast("long").alias("parts"))  # a row for each country
+    place = F.pmod(F.col("ord"), F.col("parts")).alias("part")
+    a = anchors.join(F.broadcast(parts), "country").select("country", place, F.col("entity_id").alias("s1_id"))
+    b = pool.join(F.broadcast(parts), "country").select("country", place, F.col("entity_id").alias("cand_id"))
+    true = truth.select("s1_id", F.explode("ids").alias("cand_id")).distinct().withColumn("label", F.lit(1))
+    others = a.join(b, ["country", "part"]).select("s1_id", "cand_id").join(true, ["s1_id", "cand_id"], "left_anti").withColumn("label", F.lit(0))
+    return true.unionByName(others)
+
+
 def match_counts(lists: DataFrame) -> DataFrame:
     """(n_ids, n): how many anchors have how many matches."""
     return lists.groupBy(F.size("ids").alias("n_ids")).agg(F.count(F.lit(1)).alias("n"))

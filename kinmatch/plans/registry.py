@@ -461,6 +461,31 @@ def _recall_at_k(spark, sf_dir):
     return evaluate.recall_at(true, _found(rec))
 
 
+_TAUS = (0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
+
+
+@_add(
+    "singleton_rate",
+    o.query(_FOUND, _SCORED, "mx AS (SELECT r.entity_id, max(sp.p) AS top FROM rec r LEFT JOIN sp ON sp.s1_id = r.entity_id WHERE r.source = 'S1' GROUP BY 1)", f"ta AS (SELECT unnest({list(_TAUS)}) AS tau)", select="SELECT CAST(tau AS DOUBLE) AS tau, count_if(top IS NULL OR top < tau)::BIGINT AS n_singletons, round(count_if(top IS NULL OR top < tau) / count(*), 6) AS rate FROM ta CROSS JOIN mx GROUP BY tau"),
+)
+def _singleton_rate(spark, sf_dir):
+    rec = fx.records(spark, sf_dir)
+    return evaluate.singleton_rate(r.anchors(rec), _scored(rec), _TAUS)
+
+
+@_add(
+    "fixed_distractors",
+    o.query(
+        o.TRUTH, "pt AS (SELECT country, greatest(1, count(*) // 15) AS parts FROM rec WHERE source <> 'S1' GROUP BY country)",
+        "ot AS (SELECT a.entity_id AS s1_id, b.entity_id AS cand_id FROM rec a JOIN pt USING (country) JOIN rec b ON b.country = a.country AND b.source <> 'S1' AND b.ord % parts = a.ord % parts WHERE a.source = 'S1')",
+        select="SELECT s1_id, cand_id, 1 AS label FROM truth UNION ALL SELECT s1_id, cand_id, 0 FROM ot WHERE (s1_id, cand_id) NOT IN (SELECT s1_id, cand_id FROM truth)",
+    ),
+)
+def _fixed_distractors(spark, sf_dir):
+    rec, true, _ = _lists(spark, sf_dir)
+    return evaluate.fixed_distractors(r.anchors(rec), r.pool(rec), true)
+
+
 @_add("match_count_hist", o.query(o.TRUTH, o.lists("truth", "tl"), select="SELECT CAST(len(ids) AS INT) AS n_ids, count(*) AS n FROM tl GROUP BY 1"))
 def _match_count_hist(spark, sf_dir):
     return evaluate.match_counts(_lists(spark, sf_dir)[1])

@@ -74,6 +74,12 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias("ord"), F.coalesce("s1_id", F.lit("")).alias("s1_id"), ids_of(F.col("list")).alias("ids"))
 
 
+def headers(spark: SparkSession, path: str) -> bool:
+    """Whether both written result tables have the columns that they must have, in order."""
+    want = {"matching_results": ["source1_entity_id", "matched_entity_ids"], "candidate_pairs": ["source1_entity_id", "candidate_entity_ids"]}
+    return all(spark.read.option("sep", "\t").option("header", True).option("quote", "").csv(f"{path}/{folder}").columns == names for folder, names in want.items())
+
+
 def package(spark: SparkSession, path: str, about: dict) -> str:
     """Writes a description beside the results; the folder is the package. Returns its path."""
     spark.createDataFrame([(json.dumps(about, sort_keys=True),)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")

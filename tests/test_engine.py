@@ -99,6 +99,9 @@ def test_files_round_trip(spark, rec, tmp_path):
     assert evaluate.audit(ids, m, k).first()["passed"]
     assert not evaluate.audit(ids, k, m).first()["subset"]
     assert not evaluate.audit(ids, m.where("ord > 0"), k).first()["passed"]
+    assert files.headers(spark, str(tmp_path / "out"))
+    spark.range(1).withColumn("x", F.lit("y")).write.mode("overwrite").option("sep", "\t").option("header", True).csv(str(tmp_path / "out" / "candidate_pairs"))
+    assert not files.headers(spark, str(tmp_path / "out"))
 
 
 def test_bad_lines(spark, tmp_path):
@@ -151,6 +154,17 @@ def test_gate_loses_nothing(spark, rec, tmp_path):
     assert check["passed"] and check["n"] == r.anchors(rec).count()
 
 
+def test_baseline_and_profile(spark, rec):
+    from kinmatch.plans import profile
+
+    truth = evaluate.listed(r.anchors(rec), fx.true_pairs(spark, SF))
+    rows = match.training_matrix(rec.where("country = 'France'"), truth, blockers.INTEGER_TOP15).cache()
+    model = ensemble.baseline(rows, ensemble.Settings(iterations=3, depth=3))
+    assert len(ensemble.importances(model)) == 10 and "probability" in model.transform(rows).columns
+    got = profile.timed(rec, [("anchors", r.anchors), ("names", lambda d: d.select("norm_name").distinct())])
+    assert [x[0] for x in got] == ["anchors", "names"] and got[0][2] == r.anchors(rec).count() and all(x[1] > 0 for x in got)
+
+
 def test_training_sample_and_split(spark, rec):
     truth = evaluate.listed(r.anchors(rec), fx.true_pairs(spark, SF))
     some, kept = ensemble.training_rows(r.anchors(rec), r.pool(rec), truth, n_anchors=100, distractors=0.1)
