@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -57,3 +58,51 @@ def test_odd_rows(spark):
     assert left.columns == docs.columns and sorted(r["doc_id"] for r in left.collect()) == [1, 2, 3, 5]
     assert decontaminate.overlaps(docs.limit(0), bench).collect() == decontaminate.overlaps(docs, bench.limit(0)).collect() == []
     assert decontaminate.clean(docs, bench.limit(0)).count() == 7
+
+
+@pytest.mark.parametrize("n", range(decontaminate.TOLERANT, decontaminate.WINDOW + 1))
+def test_masks_lose_nothing(n):
+    """Whatever verification accepts holds a seed: all places for as many substitutions as it allows, on items of each length."""
+    masks = decontaminate.MASKS[max(at for at in decontaminate.MASKS if at <= n)]
+    changed = n - -(-n * decontaminate.MATCHED // 100)
+    for subs in itertools.combinations(range(n), changed):
+        assert any(not any(m[p - at] == "1" for p in subs if at <= p < at + len(m)) for m in masks for at in range(n - len(m) + 1))
+
+
+def plain_overlaps(docs, items):
+    """All documents against all items on all diagonals, without seeds."""
+    out = set()
+    for (d, t), (i, it) in itertools.product(docs, items):
+        w = min(decontaminate.WINDOW, len(it))
+        least = w if w < decontaminate.TOLERANT else -(-w * decontaminate.MATCHED // 100)
+        for o in range(-len(it), len(t)):
+            start = max(0, o)
+            e = [t[k] == it[k - o] for k in range(start, min(len(t), len(it) + o))]
+            if len(it) >= decontaminate.LEAST and len(e) >= w and max(sum(e[k : k + w]) for k in range(len(e) - w + 1)) >= least:
+                out.add((d, i))
+    return out
+
+
+def test_equals_all_pairs_without_seeds(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("abcd", k=3))
+    items = [(n * 10 + k, [word() for _ in range(n)]) for n in (1, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 20) for k in range(4)]
+    docs = []
+    for i, it in items:
+        for c in range(8):
+            t = list(it)
+            for p in rng.sample(range(len(t)), min(len(t), rng.choice([0, 1, 2, 2, 3, 3, 4]))):
+                t[p] = word()
+            docs.append((i * 100 + c, [word() for _ in range(rng.randrange(12))] + t + [word() for _ in range(rng.randrange(12))]))
+    frame = lambda rows, name: spark.createDataFrame([(i, " ".join(t)) for i, t in rows], f"{name} long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(frame(docs, "doc_id"), frame(items, "item_id")).collect()}
+    want = plain_overlaps(docs, items)
+    assert got == want and {i // 10 for _, i in want} == {n for n in (4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 20)}
+
+
+def test_scripts_without_spaces_and_short_items(spark):
+    zh = "北京是中华人民共和国的首都也是全国的政治中心"
+    bench = spark.createDataFrame([(1, zh), (2, "Wer war Goethe wirklich"), (3, "only two")], "item_id long, text string")
+    rows = [(1, "前面的话。" + zh + "后面"), (2, zh.replace("首", "古")), (3, "北京很大,我们在那里住过"), (4, "ich frage: wer war goethe wirklich?"), (5, "wer war schiller wirklich"), (6, "only two")]
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.overlaps(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1), (2, 1), (4, 2)}
