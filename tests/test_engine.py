@@ -1,8 +1,12 @@
 """Units of the engine that no SQL covers: files, restart, streams, models, invariants."""
 
+import re
+
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from kinmatch.functions import sums
 from kinmatch.operators import blockers, blocking, ensemble, evaluate, rules
 from kinmatch.operators import features as ft
 from kinmatch.operators import records as r
@@ -80,6 +84,29 @@ def test_a_hot_key_costs_its_cap(spark):
         assert plan.count("WindowGroupLimit") >= 1, "parts of a list are limited before they are shuffled"
 
 
+def test_pairs_are_summed_where_they_meet(spark, rec, monkeypatch):
+    """No shuffle has a row for each pair, and parts of anchors and blocks of candidates don't change the result."""
+    run = lambda: blocking.candidates(r.anchors(rec), r.pool(rec), blockers.INTEGER_TOP15)
+    plan = run()._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\(s1_id#\d+, cand_id#", plan)
+    want = {tuple(x) for x in run().collect()}
+    for name, v in (("CELL", 2000), ("MOST_PROBES", 500), ("LEAST_PROBES", 40)):
+        monkeypatch.setattr(blocking, name, v)
+    parts, blocks = blocking.cells(1000, 5000, 100)
+    assert parts > 1 and blocks > 1
+    assert {tuple(x) for x in run().collect()} == want
+
+
+def test_sums_of_lists():
+    lists = pa.table({"country": ["x"] * 3, "name": ["n"] * 3, "key": ["a", "b", "a"], "source": ["S2", "S2", "S3"], "df": [3, 9, 1], "idf": [2.0, 1.0, 0.5], "nos": [[7, 5, 5], [9, 5], [4]]})
+    row = {"s1_id": "A", "s1_ord": 1, "country": "x", "name": "n", "factor": 1.5, "over": None}
+    probes = pa.Table.from_pylist([row | {"key": "a", "by_idf": True}, row | {"key": "b", "by_idf": False}, row | {"key": "none", "by_idf": True}, row | {"key": "b", "by_idf": False, "over": 8}])
+    got = lambda *a: [(x["no"], x["source"], x["score"], x["rank"]) for x in sums.best_sums(probes, lists, *a).to_pylist()]
+    assert got(2, None, None, True) == [(5, "S2", 7.5, 1), (7, "S2", 3.0, 2), (4, "S3", 0.75, 1)]
+    assert got(9, None, None, False) == [(5, "S2", 7.5, 1), (7, "S2", 3.0, 2), (9, "S2", 1.5, 3), (4, "S3", 0.75, 4)]
+    assert got(9, 1.0, 2, True) == [(5, "S2", 7.5, 1)] and sums.best_sums(probes[:0], lists, 9, None, None, True).num_rows == 0
+
+
 def test_files_round_trip(spark, rec, tmp_path):
     raw = fx.entities(spark, SF).select("entity_id", "business_name", "business_address", "country")
     path = str(tmp_path / "in")
