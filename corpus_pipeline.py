@@ -1,8 +1,8 @@
 """The corpus pipeline: five stages over documents, each written as Parquet and read again.
 
   quality        rows that fail the base rules or lie beyond their language's and source's thresholds go
-  near_dedup     one document of each group of near duplicates (Jaccard similarity of the five-word shingles of 0.8 or more,
-                 exact) stays, the one with the smallest id
+  near_dedup     one document of each group of near duplicates (SimHash, completed by an index of prefixes; links have a
+                 Jaccard similarity of the five-word shingles of 0.8 or more, exact) stays, the one with the smallest id
   decontaminate  documents that hold a benchmark item go
   pii            validated numbers, dates and addresses in the texts become pseudonyms; n_chars follows
   pieces         piece ids of each text, and whether they decode to it

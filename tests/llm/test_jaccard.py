@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from kinmatch.llm import jaccard
+from kinmatch.llm import jaccard, simhash
 
 
 def plain_shingles(text):
@@ -84,6 +84,25 @@ def test_documents_equal_all_pairs(spark, long_list, monkeypatch):
     assert got == plain_components({r["doc_id"]: r["text"] for r in docs.collect()})
 
 
+def test_simhash_proposes_links_that_are_checked(spark, monkeypatch):
+    """Pairs of near fingerprints are linked first, if they are similar enough; the index by prefixes doesn't see them again."""
+    w = [f"word{i}" for i in range(3000)]
+    same = "a " * 1500
+    texts = {0: " ".join(w), 1: " ".join([*w[:-1], "last"]), 2: same + " ".join(f"u{i}" for i in range(20)), 3: same + " ".join(f"v{i}" for i in range(20)), 4: " ".join(w[:2600]), 5: "of its own"}
+    fps = {i: simhash.fingerprint(t) for i, t in texts.items()}
+    assert (fps[0] ^ fps[1]).bit_count() <= 4 and (fps[2] ^ fps[3]).bit_count() <= 4 and (fps[0] ^ fps[4]).bit_count() > 4
+    seen, links = [], jaccard.links
+
+    def spy(prefixes, load, long_list, first):
+        seen.append(first.count())
+        return links(prefixes, load, long_list, first)
+
+    monkeypatch.setattr(jaccard, "links", spy)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in jaccard.near_duplicates(docs).collect()}
+    assert seen == [1] and got == {0: 0, 1: 0, 2: 2, 3: 3, 4: 0, 5: 5} == plain_components(texts)
+
+
 def test_odd_rows(spark):
     rows = [(3, None), (1, ""), (2, " \t\n"), (None, "one two"), (7, "One TWO"), (9, "x y " * 70000), (9, "x y " * 70000), (4, "solo")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("node", F.lit("mine")).withColumn("row", F.lit(1))
