@@ -102,3 +102,19 @@ def test_odd_rows(spark, library):
     assert got == [("1", [], ""), ("2", [], ""), ("3", ids, long), ("3", ids, long), ("None", library.encode(" "), " ")]
     assert set(out.columns) == set(docs.columns)
     assert pieces.encoded(docs.limit(0)).collect() == []
+
+
+def test_uncut_words_are_remembered_once():
+    with open(pieces.MODEL, "rb") as f:
+        own = pieces.Pieces(f.read())
+    own.encode("Plain words, unlike 漢字かなxyz mixed ones")
+    assert own.words and own.parts and not set(own.words) & set(own.parts)
+
+
+def test_other_stages_let_go_of_the_words():
+    from kinmatch.llm.base import let_go
+
+    with open(pieces.MODEL, "rb") as f:
+        pieces.load(f.read()).encode("some words")
+    let_go()
+    assert not pieces._loaded
