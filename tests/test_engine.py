@@ -228,3 +228,29 @@ def test_rule_gate(spark, rec):
     assert match.match_by_rules(rec, 3).count() == truth.count()
     with pytest.raises(ValueError, match="under"):
         match.match_by_rules(rec, 2, truth, least=1.01)
+
+
+def test_truth_by_classes_equals_its_pairs(spark):
+    """Counts, hits and missed pairs by class against all pairs, with repeated rows, null classes and an id in two classes."""
+    ids = [(f"S{1 + i % 3}-{i}", f"g{i % 5}" if i % 7 else None) for i in range(60)]
+    ids += ids[:9] + [("S1-3", "g1"), ("S1-3", "g4"), ("S2-4", "g0"), ("S3-5", "g2")]
+    members = spark.createDataFrame([(e, e[:2], "US", g) for e, g in ids], "entity_id string, source string, country string, gk string")
+    true = sorted({(a, b) for a, g in ids for b, h in ids if a[:2] == "S1" and b[:2] != "S1" and g is not None and g == h})
+    names = sorted({e for e, _ in ids})
+    records = spark.createDataFrame([(e, e[:2], f"n{e}", f"a{e}") for e in names], "entity_id string, source string, business_name string, business_address string")
+    own = records.where("source = 'S1'")
+    found = spark.createDataFrame([*((a, b, 1 + i % 30) for i, (a, b) in enumerate(true) if i % 3), ("S1-0", "S2-1", 2), ("S1-6", "S9-9", 1)], "s1_id string, cand_id string, rank int")
+    classes = evaluate.Classes.of(members, ("country", "gk"))
+    assert classes.mixed.count() >= 2
+    lists, pred = evaluate.listed(own, spark.createDataFrame(true, "s1_id string, cand_id string")), evaluate.listed(own, found)
+    rows = lambda df: sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+    assert rows(evaluate.per_entity_by_class(own, classes, found)) == rows(evaluate.per_entity(lists, pred))
+    assert rows(evaluate.recall_by_class(classes, found)) == rows(evaluate.recall(lists, found))
+    assert rows(evaluate.recall_at_by_class(classes, found)) == rows(evaluate.recall_at(lists, found))
+    want = rows(evaluate.missed(lists, pred, records))
+    cells, evaluate.CELL_PAIRS = evaluate.CELL_PAIRS, 4  # classes are dealt into squares
+    try:
+        assert rows(evaluate.missed_by_class(classes, found, records)) == want and want
+    finally:
+        evaluate.CELL_PAIRS = cells
+    assert not evaluate.recall_at_by_class(evaluate.Classes.of(members.where("false"), ("country", "gk")), found).collect()
