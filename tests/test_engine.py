@@ -212,6 +212,22 @@ def test_rules_tables(spark):
     assert got[35.0, 86.0, False, False] == (50, 65) and got[10.0, 81.0, True, False] == (85, 85) and got[10.0, 86.0, False, True] == (0, 0)
 
 
+def test_completion_keeps_the_best_of_a_source(spark, monkeypatch):
+    """Places are counted among the other source's candidates only, and no row is made for each pair."""
+    rows = [("S1-1", "acme roofing supply", "12 elm way", "US")]
+    rows += [(f"S2-{i}", "acme roofing supply", "12 elm way", "US") for i in range(2, 12)]
+    rows += [(f"S3-{i}", "acme roofing supply", "12 elm way" if i > 22 else "elm way", "US") for i in range(20, 30)]
+    rec = r.normalised(spark.createDataFrame(rows, "entity_id string, business_name string, business_address string, country string"))
+    own, pool = r.anchors(rec), r.pool(rec)
+    matched = spark.createDataFrame([("S1-1", "S2-2")], "s1_id string, cand_id string")
+    monkeypatch.setattr(blocking, "_all_pairs", lambda *a: pytest.fail("a row for each pair"))
+    run = lambda: sorted(x["cand_id"] for x in rules.complete_sources(own, pool, rec, matched).collect())
+    assert run() == ["S3-23", "S3-24", "S3-25"]
+    for name, v in (("CELL", 8), ("MOST_PROBES", 2), ("LEAST_PROBES", 1)):
+        monkeypatch.setattr(blocking, name, v)
+    assert run() == ["S3-23", "S3-24", "S3-25"]
+
+
 def test_closure_is_idempotent(spark):
     rows = [("a", "S2-1", "S2", 0.9, "x", "p"), ("a", "S3-1", "S3", 0.1, "x", "p"), ("a", "S3-2", "S3", 0.1, "x", ""), ("a", "S3-3", "S3", 0.1, "x", "q"), ("b", "S3-1", "S3", 0.1, "x", "p"), ("a", "S2-2", "S2", 0.7, "y", "r"), ("a", "S3-4", "S3", 0.1, "y", "r")]
     s = spark.createDataFrame(rows, "s1_id string, cand_id string, source string, p double, b_norm_name string, b_norm_addr string")
